@@ -1,0 +1,6 @@
+"""No streaming jobs exist.
+
+The capabilities covered by this package are all batch. The readers in
+``sources`` are plain projections over a column of lines, so they can be
+applied to a streaming DataFrame as they are.
+"""
