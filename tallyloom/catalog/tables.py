@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import word_tokens
-from tallyloom.sources.text import lines_of
+from tallyloom.sources.text import lines_of, spread
 
 _GRAM = 6
 
@@ -22,12 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id``, ``line_no``, ``line`` for every line of every document."""
-    return lines_of(table(spark, sf_dir, "documents"))
+    return lines_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log line per event; some with a broken zone, some with a blank before the closing quote."""
-    event = table(spark, sf_dir, "events")
+    event = spread(table(spark, sf_dir, "events"))
     zone = F.when(F.col("event_id") % 97 == 0, " 0000").otherwise(" +0000")
     blank = F.when(F.col("event_id") % 89 == 0, " ").otherwise("")
     kind = F.col("event_type")
@@ -88,7 +88,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as ``id``, ``text``."""
-    return table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
+    return spread(table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text"))
 
 
 def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.sources.fields import has_fields, match_fields
+from tallyloom.sources.fields import has_fields, with_fields
 from tallyloom.sources.quality import FAILED, PARSED
 
 # The two line patterns and the month names.
@@ -22,13 +22,11 @@ def log_timestamp(text: Column) -> Column:
     The zone offset is ignored, so the value never depends on the session zone.
     """
     month = F.array_position(F.array(*[F.lit(name) for name in MONTHS]), F.substring(text, 4, 3))
-
-    def number(start: int, length: int) -> Column:
-        return F.substring(text, start, length).try_cast("int")
-
-    return F.try_make_timestamp_ntz(
-        number(8, 4), month.cast("int"), number(1, 2), number(13, 2), number(16, 2), number(19, 2).cast("decimal(16,6)")
-    )
+    iso = F.concat(
+        F.substring(text, 8, 4), F.lit("-"), month.cast("string"), F.lit("-"), F.substring(text, 1, 2),
+        F.lit(" "), F.substring(text, 13, 8),
+    )
+    return iso.try_cast("timestamp_ntz")
 
 
 def parse_access_log(lines: DataFrame, line: str = "line", pattern: str = REPAIRED_PATTERN) -> DataFrame:
@@ -38,27 +36,30 @@ def parse_access_log(lines: DataFrame, line: str = "line", pattern: str = REPAIR
     marked failed and has NULL fields; it never stops the job. A size of ``-``
     counts as zero.
     """
-    field = F.col("_fields")
-    size = F.when(field[8] == "-", F.lit("0")).otherwise(field[8])
+    text = [F.get("_fields", F.lit(index)) for index in range(FIELDS)]
     values = {
-        "host": field[0],
-        "client_identd": field[1],
-        "user_id": field[2],
-        "date_time": log_timestamp(field[3]),
-        "method": field[4],
-        "endpoint": field[5],
-        "protocol": field[6],
-        "response_code": field[7].try_cast("int"),
-        "content_size": size.try_cast("long"),
+        "host": text[0],
+        "client_identd": text[1],
+        "user_id": text[2],
+        "date_time": log_timestamp(text[3]),
+        "method": text[4],
+        "endpoint": text[5],
+        "protocol": text[6],
+        "response_code": text[7].try_cast("int"),
+        "content_size": F.when(text[8] == "-", F.lit("0")).otherwise(text[8]).try_cast("long"),
     }
-    usable = (
-        has_fields(field, FIELDS) & values["date_time"].isNotNull() & values["content_size"].isNotNull()
+    record = F.struct(*[value.alias(name) for name, value in values.items()])
+    # Exploded for the same reason as the fields: later filters reuse the converted values.
+    typed = with_fields(lines, line, pattern, FIELDS).select(
+        *lines.columns,
+        F.explode(F.array(F.when(has_fields(F.col("_fields"), FIELDS), record))).alias("_record"),
+    )
+    usable = F.col("_record.date_time").isNotNull() & F.col("_record.content_size").isNotNull()
+    return typed.select(
+        *lines.columns,
+        F.when(usable, F.lit(PARSED)).otherwise(F.lit(FAILED)).alias("parse_status"),
+        *[F.when(usable, F.col(f"_record.{name}")).alias(name) for name in values],
     )
-    split = lines.withColumn("_fields", match_fields(F.col(line), pattern, FIELDS))
-    kept = [F.col(name) for name in lines.columns]
-    fields = [F.when(usable, value).alias(name) for name, value in values.items()]
-    status = F.when(usable, F.lit(PARSED)).otherwise(F.lit(FAILED)).alias("parse_status")
-    return split.select(*kept, status, *fields)
 
 
 def access_records(lines: DataFrame, line: str = "line", pattern: str = REPAIRED_PATTERN) -> DataFrame:

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _BREAK = "\n"
 
 
-def match_fields(line: Column, pattern: str, groups: int) -> Column:
-    """Array of the first ``groups`` groups, or an array of another size without a match.
+def with_fields(lines: DataFrame, line: str, pattern: str, groups: int, name: str = "_fields") -> DataFrame:
+    """Add an array of the first ``groups`` groups, or an array of another size without a match.
 
     The whole match is replaced by its groups, one per line, in one pass; calling
     ``regexp_extract`` per field would run the pattern once per field. A line of
     text holds no line break, so the break cannot be part of a field.
+
+    The array is added by ``explode`` because filters on the fields are not moved
+    below it; moved below a projection, they would run the pattern once per use.
     """
-    replaced = F.regexp_replace(line, "(?s)" + pattern + ".*", _BREAK.join(f"${i}" for i in range(1, groups + 1)))
-    return F.split(replaced, _BREAK)
+    replaced = F.regexp_replace(F.col(line), "(?s)" + pattern + ".*", _BREAK.join(f"${i}" for i in range(1, groups + 1)))
+    return lines.select(*lines.columns, F.explode(F.array(F.split(replaced, _BREAK))).alias(name))
 
 
 def has_fields(fields: Column, groups: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.sources.fields import has_fields, match_fields
+from tallyloom.sources.fields import has_fields, with_fields
 from tallyloom.sources.quality import HEADER, INVALID, PARSED
 
 # The line patterns and the first field of each header.
@@ -23,7 +23,7 @@ def _unquoted(text: Column) -> Column:
 def _status(fields: Column, groups: int, header: str) -> Column:
     return (
         F.when(~has_fields(fields, groups), F.lit(INVALID))
-        .when(fields[0] == header, F.lit(HEADER))
+        .when(F.get(fields, 0) == header, F.lit(HEADER))
         .otherwise(F.lit(PARSED))
     )
 
@@ -35,24 +35,24 @@ def parse_products(lines: DataFrame, line: str = "line") -> DataFrame:
     The price is dropped. Headers are known by content, not by position.
     """
     fields = F.col("_fields")
-    split = lines.withColumn("_fields", match_fields(F.col(line), PRODUCT_PATTERN, 4))
+    split = with_fields(lines, line, PRODUCT_PATTERN, 4)
     status = _status(fields, 4, PRODUCT_HEADER)
     return split.select(
         *lines.columns,
         status.alias("parse_status"),
-        F.when(status == PARSED, _unquoted(fields[0])).alias("id"),
-        F.when(status == PARSED, F.concat_ws(" ", fields[1], fields[2], fields[3])).alias("text"),
+        F.when(status == PARSED, _unquoted(F.get(fields, 0))).alias("id"),
+        F.when(status == PARSED, F.concat_ws(" ", F.get(fields, 1), F.get(fields, 2), F.get(fields, 3))).alias("text"),
     )
 
 
 def parse_gold(lines: DataFrame, line: str = "line") -> DataFrame:
     """Add ``parse_status``, ``a_id`` and ``b_id`` to lines of a gold mapping."""
     fields = F.col("_fields")
-    split = lines.withColumn("_fields", match_fields(F.col(line), GOLD_PATTERN, 2))
+    split = with_fields(lines, line, GOLD_PATTERN, 2)
     status = _status(fields, 2, GOLD_HEADER)
     return split.select(
         *lines.columns,
         status.alias("parse_status"),
-        F.when(status == PARSED, _unquoted(fields[0])).alias("a_id"),
-        F.when(status == PARSED, _unquoted(fields[1])).alias("b_id"),
+        F.when(status == PARSED, _unquoted(F.get(fields, 0))).alias("a_id"),
+        F.when(status == PARSED, _unquoted(F.get(fields, 1))).alias("b_id"),
     )

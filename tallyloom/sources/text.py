@@ -24,3 +24,13 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
 def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines of a text column: the document, the line's place in it, the line."""
     return docs.select(doc_id, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute rows that come from fewer read tasks than there are cores.
+
+    Meant for text before heavy per-row work, when it lies in a few unsplittable
+    files. Inputs with enough splits are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
