@@ -12,6 +12,7 @@ from tallyloom.operators.indexing import with_global_index
 from tallyloom.operators.matching import pair_space
 from tallyloom.operators.ranking import largest, smallest
 from tallyloom.operators.sampling import sample_rows, sample_with_replacement
+from tallyloom.operators.unfolding import unfold
 
 LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
 
@@ -210,7 +211,7 @@ def smallest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT word FROM (SELECT unnest(string_split(line, ' ')) AS word FROM ({LINES})) ORDER BY word DESC LIMIT 10",
 )
 def largest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = text_lines(spark, sf_dir).select(F.explode(F.split("line", " ")).alias("word"))
+    words = unfold(text_lines(spark, sf_dir), F.split("line", " "), "word")
     return largest(words, 10, "word")
 
 

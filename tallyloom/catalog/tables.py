@@ -7,16 +7,22 @@ columns instead.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import word_tokens
+from tallyloom.operators.unfolding import unfold
+from tallyloom.session import stage_table
 from tallyloom.sources.text import lines_of, spread
 
 _GRAM = 6
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its files are listed and its schema read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -106,31 +112,25 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     A document that contains a passage has the same run of tokens as the passage
     has after its first token (which may be cut in the document), so documents
     are looked up by one run per passage and only those are compared as text.
-    Passages have many more tokens than a run.
+    Passages have many more tokens than a run. The pairs stand for a file of
+    known matches, so they are staged as one.
     """
     docs, passages = first_source(spark, sf_dir), second_source(spark, sf_dir)
     tokens = F.col("_tokens")
 
     def run_from(start: Column) -> Column:
-        return F.xxhash64(F.array_join(F.slice(tokens, start, _GRAM), " "))
+        return F.xxhash64(F.slice(tokens, start, _GRAM))
 
     wanted = (
         passages.withColumn("_tokens", word_tokens(F.col("text")))
         .filter(F.size(tokens) >= _GRAM + 2)
         .select(F.col("id").alias("b_id"), run_from(F.lit(2)).alias("_run"))
     )
-    runs = (
-        docs.withColumn("_tokens", word_tokens(F.col("text")))
-        .filter(F.size(tokens) >= _GRAM)
-        .select(
-            F.col("id").alias("a_id"),
-            F.explode(
-                F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(tokens) - (_GRAM - 1)), run_from))
-            ).alias("_run"),
-        )
-    )
+    tokenised = docs.withColumn("_tokens", word_tokens(F.col("text")))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (_GRAM - 1), F.lit(1)))
+    runs = unfold(tokenised, F.transform(starts, run_from), "_run", F.col("id").alias("a_id"))
     found = runs.join(wanted, "_run").select("a_id", "b_id").distinct()
-    return (
+    return stage_table(
         found.join(docs.select(F.col("id").alias("a_id"), F.col("text").alias("_a")), "a_id")
         .join(passages.select(F.col("id").alias("b_id"), F.col("text").alias("_b")), "b_id")
         .filter(F.contains(F.col("_a"), F.col("_b")))

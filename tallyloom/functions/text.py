@@ -21,7 +21,7 @@ you your yours yourself yourselves
 
 def normalize_text(text: Column) -> Column:
     """Keep ASCII letters, digits and spaces, lower-cased and trimmed."""
-    return F.trim(F.lower(F.regexp_replace(text, "[^A-Za-z0-9 ]", "")))
+    return F.trim(F.lower(F.regexp_replace(text, r"[^\p{Alnum} ]", "")))
 
 
 def split_words(text: Column) -> Column:
@@ -32,11 +32,11 @@ def split_words(text: Column) -> Column:
 def word_tokens(text: Column) -> Column:
     """Lower-cased runs of word characters, in text order, repeats kept.
 
-    The split comes before lower-casing, which may turn a non-ASCII letter into
-    an ASCII one and so change where words end.
+    Everything else is taken out before lower-casing, which may turn a non-ASCII
+    letter into an ASCII one and so change where words end.
     """
-    words = F.filter(F.split(text, r"\W+"), lambda word: word != "")
-    return F.transform(words, F.lower)
+    words = F.lower(F.trim(F.regexp_replace(text, r"\W+", " ")))
+    return F.array_remove(F.split(words, " "), "")
 
 
 def content_tokens(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:

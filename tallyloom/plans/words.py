@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import normalize_text, split_words
 from tallyloom.operators.counting import count_by
 from tallyloom.operators.ranking import top_by
+from tallyloom.operators.unfolding import unfold
 
 
 def words_of(lines: DataFrame, line: str = "line") -> DataFrame:
     """Words of the normalised lines, empty ones included, column ``word``."""
-    return lines.select(F.explode(split_words(normalize_text(F.col(line)))).alias("word"))
+    return unfold(lines, split_words(normalize_text(F.col(line))), "word")
 
 
 def nonempty_words(lines: DataFrame, line: str = "line") -> DataFrame:

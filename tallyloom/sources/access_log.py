@@ -52,7 +52,7 @@ def parse_access_log(lines: DataFrame, line: str = "line", pattern: str = REPAIR
     # Exploded for the same reason as the fields: later filters reuse the converted values.
     typed = with_fields(lines, line, pattern, FIELDS).select(
         *lines.columns,
-        F.explode(F.array(F.when(has_fields(F.col("_fields"), FIELDS), record))).alias("_record"),
+        F.explode_outer(F.array(F.when(has_fields(F.col("_fields"), FIELDS), record))).alias("_record"),
     )
     usable = F.col("_record.date_time").isNotNull() & F.col("_record.content_size").isNotNull()
     return typed.select(

@@ -23,7 +23,9 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
 
 def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines of a text column: the document, the line's place in it, the line."""
-    return docs.select(doc_id, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
+    # A split has at least one element, so the outer form adds no rows; see operators.unfolding.
+    lines = docs.filter(F.col(text).isNotNull())
+    return lines.select(doc_id, F.posexplode_outer(F.split(F.col(text), "\n")).alias("line_no", "line"))
 
 
 def spread(df: DataFrame) -> DataFrame:
