@@ -19,6 +19,7 @@ from tallyloom.catalog.texts import CORPUS
 from tallyloom.operators.matching import without
 from tallyloom.plans import similarity
 from tallyloom.plans.weights import document_weights, inverse_document_frequency, norms
+from tallyloom.session import stage_table
 from tallyloom.sources.quality import record_quality
 from tallyloom.sources.records import parse_gold, parse_products
 
@@ -57,7 +58,8 @@ SIMILAR = (
 
 
 def _idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inverse_document_frequency(corpus(spark, sf_dir))
+    """Staged, because the weights of both sources read it."""
+    return stage_table(inverse_document_frequency(corpus(spark, sf_dir)))
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

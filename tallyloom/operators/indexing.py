@@ -15,11 +15,14 @@ def with_global_index(df: DataFrame, *order: str | Column, name: str = "index")
 
     The rows are range-partitioned and sorted, and each task numbers its own.
     Equal keys are told apart by a tie-breaker, so that one value held by many
-    rows is still cut into ranges. The numbered rows are staged, because the
-    range borders must be the same when the offsets are counted and when they
-    are added. Only one count per task is ever brought together.
+    rows is still cut into ranges. The tie-breaker counts the rows of a partition
+    in the order of their hashes: a task that is run again gives the same ones,
+    even if it receives its rows in another order. The numbered rows are staged,
+    because the range borders must be the same when the offsets are counted and
+    when they are added. Only one count per task is ever brought together.
     """
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    settled = df.sortWithinPartitions(F.xxhash64(*df.columns))
+    tied = settled.select(*df.columns, F.monotonically_increasing_id().alias("_tie"))
     ordered = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie")
     numbered = stage_table(
         ordered.select(

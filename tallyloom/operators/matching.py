@@ -29,14 +29,16 @@ def pair_space(left: DataFrame, right: DataFrame) -> DataFrame:
     ).withColumn("pairs", F.col("left_rows") * F.col("right_rows"))
 
 
-def block_pairs(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, block: int = 2000) -> DataFrame:
-    """Pairs (``left_id``, ``right_id``) that share a key, with evenly sized work.
+def block_pairs(
+    left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, block: int = 2000
+) -> DataFrame:
+    """Rows of both sides that share a key, without the key, with evenly sized work.
 
     A frequent key on both sides makes one join group grow with the product of
     its sizes. Such a key is cut into blocks of about ``block`` rows per side and
-    every pair of blocks becomes a join group of its own, so no task builds more
-    than about ``block * block`` pairs of one key. Keys on one side only are
-    dropped before the rows are moved.
+    every pair of blocks becomes a join group of its own, so no group compares
+    more than about ``block * block`` rows. Keys on one side only are dropped
+    before the rows are moved. Other column names must differ between the sides.
     """
     left_sizes = left.groupBy(key).agg(F.count("*").alias("_left_n"))
     right_sizes = right.groupBy(key).agg(F.count("*").alias("_right_n"))
@@ -53,9 +55,10 @@ def block_pairs(left: DataFrame, right: DataFrame, key: str, left_id: str, right
         return F.pmod(F.xxhash64(row_id), F.col(cut_count))
 
     cut_left = left.join(cuts, key).select(
-        key, left_id, own(left_id, "_left_cuts").alias("_left_cut"), every("_right_cuts").alias("_right_cut")
+        *left.columns, own(left_id, "_left_cuts").alias("_left_cut"), every("_right_cuts").alias("_right_cut")
     )
     cut_right = right.join(cuts, key).select(
-        key, right_id, every("_left_cuts").alias("_left_cut"), own(right_id, "_right_cuts").alias("_right_cut")
+        *right.columns, every("_left_cuts").alias("_left_cut"), own(right_id, "_right_cuts").alias("_right_cut")
     )
-    return cut_left.join(cut_right, [key, "_left_cut", "_right_cut"]).select(left_id, right_id)
+    kept = [name for name in [*left.columns, *right.columns] if name != key]
+    return cut_left.join(cut_right, [key, "_left_cut", "_right_cut"]).select(*kept)

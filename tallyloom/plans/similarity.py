@@ -61,9 +61,12 @@ def cosines(pairs: DataFrame, a_weights: DataFrame, b_weights: DataFrame) -> Dat
 def pair_cosines(
     pairs: DataFrame, a_docs: DataFrame, b_docs: DataFrame, idf: DataFrame, stopwords: Sequence[str] = STOPWORDS
 ) -> DataFrame:
-    """Cosine similarity of requested pairs from the texts of just the documents in them."""
-    a_weights = document_weights(only_in_pairs(a_docs, pairs, "a"), idf, stopwords)
-    b_weights = document_weights(only_in_pairs(b_docs, pairs, "b"), idf, stopwords)
+    """Cosine similarity of requested pairs from the texts of just the documents in them.
+
+    Their weights are needed for the products and for the lengths, so they are staged.
+    """
+    a_weights = stage_table(document_weights(only_in_pairs(a_docs, pairs, "a"), idf, stopwords))
+    b_weights = stage_table(document_weights(only_in_pairs(b_docs, pairs, "b"), idf, stopwords))
     return cosines(pairs, a_weights, b_weights)
 
 
@@ -136,19 +139,31 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return docs.groupBy("text").agg(F.min("id").alias("id"), F.count("*").alias("copies")).select("id", "copies", "text")
 
 
-def _indexed(docs: DataFrame, idf: DataFrame, min_similarity: float, stopwords: Sequence[str]) -> DataFrame:
-    """Unit weights with ``rare``: whether the token must be looked up in the index.
+def _indexed(docs: DataFrame, idf: DataFrame, stopwords: Sequence[str]) -> DataFrame:
+    """Unit weights of the distinct texts, each with its ``reach``.
 
-    A document's tokens are taken from the most common to the rarest. As long as
-    the vector of the tokens so far is shorter than ``min_similarity``, those
-    tokens alone cannot lift any pair to it, so the first token (by rarity) that
-    two similar documents share is always marked on both sides.
+    A document's tokens are taken from the most common to the rarest, in the same
+    order for all documents. The reach of a token is the length of the vector of
+    all tokens up to it. If a token is the rarest one that two documents share,
+    their similarity is at most the product of its reaches in both.
     """
     texts = distinct_texts(docs).select(F.struct("id", "copies").alias("id"), "text")
-    unit = unit_weights(document_weights(texts, idf, stopwords))
-    from_common = Window.partitionBy("id").orderBy("idf", "token").rowsBetween(Window.unboundedPreceding, 0)
-    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(from_common))
-    return unit.select("id", "token", "weight", (length >= min_similarity - _ROUNDING).alias("rare"))
+    weights = document_weights(texts, idf, stopwords)
+    from_common = Window.partitionBy("id").orderBy("idf", "token")
+    upto = from_common.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = from_common.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    square = F.col("weight") * F.col("weight")
+    return weights.select(
+        "id",
+        "token",
+        (F.col("weight") / F.sqrt(F.sum(square).over(whole))).alias("weight"),
+        F.sqrt(F.sum(square).over(upto) / F.sum(square).over(whole)).alias("reach"),
+    )
+
+
+def _postings(index: DataFrame, side: str, min_reach: float) -> DataFrame:
+    far = index.filter(F.col("reach") >= min_reach)
+    return far.select("token", F.col("id").alias(f"{side}_id"), F.col("reach").alias(f"_{side}_reach"))
 
 
 def similar_pairs(
@@ -162,20 +177,17 @@ def similar_pairs(
 
     Exact copies are compared once: a row stands for ``a_copies * b_copies``
     pairs and names the smallest ids. Weights are computed once per text and
-    staged. Candidates come from joining the rare tokens of both sides; each
-    candidate is then scored with all its tokens.
+    staged. Candidates are pairs with a common token of sufficient reach on both
+    sides, which every similar pair has; tokens found in most documents rarely
+    reach far enough to be looked up. Each candidate is scored with all tokens.
     """
     if min_similarity <= 0:
         raise ValueError("min_similarity must be positive")
-    a_index = stage_table(_indexed(a_docs, idf, min_similarity, stopwords))
-    b_index = stage_table(_indexed(b_docs, idf, min_similarity, stopwords))
-    candidates = block_pairs(
-        a_index.filter("rare").select("token", F.col("id").alias("a_id")),
-        b_index.filter("rare").select("token", F.col("id").alias("b_id")),
-        "token",
-        "a_id",
-        "b_id",
-    )
+    least = min_similarity - _ROUNDING
+    a_index = stage_table(_indexed(a_docs, idf, stopwords))
+    b_index = stage_table(_indexed(b_docs, idf, stopwords))
+    sharing = block_pairs(_postings(a_index, "a", least), _postings(b_index, "b", least), "token", "a_id", "b_id")
+    candidates = sharing.filter(F.col("_a_reach") * F.col("_b_reach") >= least)
     return (
         _shared_dots(candidates, a_index, b_index)
         .filter(F.col("dot") >= min_similarity)
