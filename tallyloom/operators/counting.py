@@ -55,10 +55,11 @@ def share_of_total(counts: DataFrame, n: str = "n", name: str = "share") -> Data
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between minimum and maximum; the last one is closed, empty ones count 0."""
     values = df.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull())
-    low = values.agg(F.min("_value")).scalar()
-    high = values.agg(F.max("_value")).scalar()
-    ranged = values.select("_value", low.alias("_low"), ((high - low) / F.lit(bins)).alias("_width"))
-    place = F.floor(F.coalesce(F.try_divide(F.col("_value") - F.col("_low"), F.col("_width")), F.lit(0.0)))
+    # One struct, so that the input is read once for both ends.
+    ends = values.agg(F.struct(F.min("_value").alias("low"), F.max("_value").alias("high")))
+    width = (F.col("_ends.high") - F.col("_ends.low")) / F.lit(bins)
+    place = F.floor(F.coalesce(F.try_divide(F.col("_value") - F.col("_ends.low"), width), F.lit(0.0)))
+    ranged = values.withColumn("_ends", ends.scalar())
     counted = count_by(ranged.select(F.least(F.lit(bins - 1), place).cast("int").alias("bin")), "bin")
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(counted, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))

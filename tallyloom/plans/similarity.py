@@ -110,10 +110,11 @@ def evaluate(
     duplicates = pair_cosines(known, a_docs, b_docs, idf, stopwords).agg(
         F.count("*").alias("duplicates"), F.coalesce(F.sum("similarity"), F.lit(0.0)).alias("_duplicate_sum")
     )
-    total = all_pairs_total(a_docs, b_docs, idf, stopwords)
-    rest_sum = total.select("similarity_sum").scalar() - F.col("_duplicate_sum")
-    rest_pairs = total.select("pairs").scalar() - F.col("duplicates")
-    return duplicates.select(
+    # One struct, so that the totals are computed once.
+    total = all_pairs_total(a_docs, b_docs, idf, stopwords).select(F.struct("similarity_sum", "pairs"))
+    rest_sum = F.col("_total.similarity_sum") - F.col("_duplicate_sum")
+    rest_pairs = F.col("_total.pairs") - F.col("duplicates")
+    return duplicates.withColumn("_total", total.scalar()).select(
         "duplicates",
         F.try_divide(F.col("_duplicate_sum"), F.col("duplicates")).alias("mean_duplicates"),
         F.try_divide(rest_sum, rest_pairs).alias("mean_others"),

@@ -1,7 +1,7 @@
 """Token counts, term frequency, inverse document frequency and their product.
 
-Documents are tables with ``id`` and ``text``; weights are long tables with one
-row per document and token.
+Documents are tables with ``id`` and ``text``, where an id names one document;
+weights are long tables with one row per document and token.
 """
 
 from __future__ import annotations

@@ -52,7 +52,7 @@ def test_unusable_lines_are_counted_not_fatal(spark):
     report = log_quality(df).first()
     assert (report.lines, report.parsed, report.failed) == (7, 1, 6)
     assert all(r.host is None and r.line is not None for r in df.filter("parse_status = 0").collect())
-    assert [r.line for r in status_sample(df, FAILED, 2, "line").collect()] == ["", BAD_ZONE]
+    assert [r.line for r in status_sample(df, FAILED, 2, "line").collect()] == ["", BAD_MONTH]
     assert {(r.parse_status, r.n) for r in status_counts(df).collect()} == {(0, 6), (1, 1)}
     records = access_records(spark.createDataFrame([(LINE,), (BAD_DATE,)], "line string"))
     assert records.count() == 1 and "line" not in records.columns
