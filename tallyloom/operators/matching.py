@@ -32,13 +32,14 @@ def pair_space(left: DataFrame, right: DataFrame) -> DataFrame:
 def block_pairs(
     left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, block: int = 2000
 ) -> DataFrame:
-    """Rows of both sides that share a key, without the key, with evenly sized work.
+    """Inner join on one key with evenly sized work, for keys that repeat on both sides.
 
     A frequent key on both sides makes one join group grow with the product of
     its sizes. Such a key is cut into blocks of about ``block`` rows per side and
     every pair of blocks becomes a join group of its own, so no group compares
     more than about ``block * block`` rows. Keys on one side only are dropped
-    before the rows are moved. Other column names must differ between the sides.
+    before the rows are moved. ``left_id`` and ``right_id`` spread the rows of a
+    key over its blocks; names other than the key must differ between the sides.
     """
     left_sizes = left.groupBy(key).agg(F.count("*").alias("_left_n"))
     right_sizes = right.groupBy(key).agg(F.count("*").alias("_right_n"))
@@ -60,5 +61,4 @@ def block_pairs(
     cut_right = right.join(cuts, key).select(
         *right.columns, every("_left_cuts").alias("_left_cut"), own(right_id, "_right_cuts").alias("_right_cut")
     )
-    kept = [name for name in [*left.columns, *right.columns] if name != key]
-    return cut_left.join(cut_right, [key, "_left_cut", "_right_cut"]).select(*kept)
+    return cut_left.join(cut_right, [key, "_left_cut", "_right_cut"]).drop("_left_cut", "_right_cut")

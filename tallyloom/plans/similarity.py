@@ -32,11 +32,12 @@ def only_in_pairs(docs: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
 
 
 def _shared_dots(pairs: DataFrame, a_weights: DataFrame, b_weights: DataFrame) -> DataFrame:
-    """Dot product of each distinct pair that shares a token."""
+    """Dot product of each pair that shares a token; the pairs must be distinct.
+
+    A document may be in most of the pairs, so its tokens are spread in blocks.
+    """
     return (
-        pairs.select("a_id", "b_id")
-        .distinct()
-        .join(_side(b_weights, "b"), "b_id")
+        block_pairs(pairs, _side(b_weights, "b"), "b_id", "a_id", "token")
         .join(_side(a_weights, "a"), ["a_id", "token"])
         .groupBy("a_id", "b_id")
         .agg(F.sum(F.col("_a") * F.col("_b")).alias("dot"))
@@ -45,7 +46,7 @@ def _shared_dots(pairs: DataFrame, a_weights: DataFrame, b_weights: DataFrame) -
 
 def dot_products(pairs: DataFrame, a_weights: DataFrame, b_weights: DataFrame) -> DataFrame:
     """Dot product of each requested pair, 0 without a shared token."""
-    shared = _shared_dots(pairs, a_weights, b_weights)
+    shared = _shared_dots(pairs.select("a_id", "b_id").distinct(), a_weights, b_weights)
     return pairs.join(shared, ["a_id", "b_id"], "left").withColumn("dot", F.coalesce("dot", F.lit(0.0)))
 
 
@@ -178,7 +179,7 @@ def similar_pairs(
 
     Exact copies are compared once: a row stands for ``a_copies * b_copies``
     pairs and names the smallest ids. Weights are computed once per text and
-    staged. Candidates are pairs with a common token of sufficient reach on both
+    staged, and so are the candidates. Candidates are pairs with a common token of sufficient reach on both
     sides, which every similar pair has; tokens found in most documents rarely
     reach far enough to be looked up. Each candidate is scored with all tokens.
     """
@@ -188,7 +189,8 @@ def similar_pairs(
     a_index = stage_table(_indexed(a_docs, idf, stopwords))
     b_index = stage_table(_indexed(b_docs, idf, stopwords))
     sharing = block_pairs(_postings(a_index, "a", least), _postings(b_index, "b", least), "token", "a_id", "b_id")
-    candidates = sharing.filter(F.col("_a_reach") * F.col("_b_reach") >= least)
+    reaching = sharing.filter(F.col("_a_reach") * F.col("_b_reach") >= least)
+    candidates = stage_table(reaching.select("a_id", "b_id").distinct())
     return (
         _shared_dots(candidates, a_index, b_index)
         .filter(F.col("dot") >= min_similarity)

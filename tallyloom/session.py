@@ -55,7 +55,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     session is local; on a cluster such a folder would be machine-local.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = context.getCheckpointDir()
     if not folder:

@@ -61,7 +61,7 @@ def test_unusable_lines_are_counted_not_fatal(spark):
 def test_products(spark):
     lines = [
         '"id","title","description","manufacturer","price"',
-        '"b1","clickart 950","massive images, many","broderbund",9.99',
+        '"b1","paint box 9","brushes, many","acme",9.99',
         '"b2","say ""hi""",,,',
         "not a record",
     ]
@@ -87,9 +87,9 @@ def test_gold(spark):
 
 
 def test_ratings_and_items(spark):
-    lines = spark.createDataFrame([("1::1193::5::978300760",), ("1::x::5::0",), ("1",)], "line string")
+    lines = spark.createDataFrame([("1::77::5::900000000",), ("1::x::5::0",), ("1",)], "line string")
     rows = parse_ratings(lines).collect()
-    assert (rows[0].user_id, rows[0].item_id, rows[0].rating, rows[0].parse_status) == (1, 1193, 5.0, 1)
+    assert (rows[0].user_id, rows[0].item_id, rows[0].rating, rows[0].parse_status) == (1, 77, 5.0, 1)
     assert [r.parse_status for r in rows] == [1, 0, 0]
-    items = spark.createDataFrame([("1::Toy Story (1995)::Animation|Comedy",)], "line string")
-    assert parse_items(items).first().title == "Toy Story (1995)"
+    items = spark.createDataFrame([("1::Blue Harbour (1991)::Drama|Comedy",)], "line string")
+    assert parse_items(items).first().title == "Blue Harbour (1991)"
