@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import ngram_join
+from tallyloom.llm import ngram_join, superkmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL with the same rows, for the queries that SQL can express.
@@ -27,3 +27,9 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of the documents: five-word shingles, Jaccard similarity 0.75 or more."""
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without windows of 20 words that start earlier in the corpus."""
+    return superkmers.without_repeats(table(spark, sf_dir, "documents"))
