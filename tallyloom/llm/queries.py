@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import ngram_join, superkmers
+from tallyloom.llm import ngram_join, suffix_dedup, superkmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL with the same rows, for the queries that SQL can express.
@@ -33,3 +33,9 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents without windows of 20 words that start earlier in the corpus."""
     return superkmers.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without strings of 400 bytes that occur more than once."""
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
