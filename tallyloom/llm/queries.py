@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import ngram_join, suffix_dedup, superkmers
+from tallyloom.llm import fm_index, ngram_join, suffix_dedup, superkmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL with the same rows, for the queries that SQL can express.
@@ -39,3 +39,43 @@ def op9_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents without strings of 400 bytes that occur more than once."""
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in the documents: windows of ten words."""
+    return fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op8_fm_index"] = f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+sizes AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sizes)),
+lengths AS (SELECT DISTINCT k FROM phrases),
+windows AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, lengths WHERE len(w) >= k)),
+found AS (SELECT doc_id, i, k, item_id FROM windows JOIN phrases USING (k, phrase)),
+words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM found) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+SQL["op9_superkmers"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+again AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1),
+gone AS (SELECT doc_id, list(DISTINCT j) AS places FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM again) GROUP BY 1),
+kept AS (SELECT doc_id, w, places, list_filter(range(1, len(w) + 1), lambda j: places IS NULL OR NOT list_contains(places, j)) AS rest
+  FROM d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string(list_transform(rest, lambda j: w[j]), ' '), '')) AS kept_sha256
+FROM kept
+"""
