@@ -36,7 +36,7 @@ def rows_of(columns, rows):
 
 
 def types_of(df):
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     return {name: kinds.get(kind, kind) for name, kind in df.dtypes}
 
 
