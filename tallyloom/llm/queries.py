@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import fm_index, ngram_join, suffix_dedup, superkmers
+from tallyloom.llm import bpe, fm_index, ngram_join, ppm, suffix_dedup, superkmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL with the same rows, for the queries that SQL can express.
@@ -79,3 +80,16 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_
   sha256(coalesce(array_to_string(list_transform(rest, lambda j: w[j]), ' '), '')) AS kept_sha256
 FROM kept
 """
+
+
+@query
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of the documents."""
+    return ppm.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of the documents and their decoding."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trips(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
