@@ -150,6 +150,13 @@ def unpack(shard: int, payload: bytes) -> Shard:
     )
 
 
+def loose_shard(texts: list[bytes | None]) -> Shard:
+    """Texts of one batch in the form of a shard, without ids; null texts are empty."""
+    texts = [text or b"" for text in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
+    return Shard(buffer=np.frombuffer(b"\xff".join([*texts, b""]), np.uint8), offsets=offsets, n=len(texts))
+
+
 def id_array(shard: Shard, chosen=None) -> pa.Array:
     """The ids as Arrow longs, null where they were null."""
     take = slice(None) if chosen is None else chosen
@@ -364,9 +371,7 @@ def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of n positions lie in any of the half-open spans."""
-    edges = np.zeros(n + 1, np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, ends, -1)
+    edges = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(edges[:-1]) > 0
 
 

@@ -1,6 +1,6 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes, next to a word-count baseline.
 
-The model is a trie of byte contexts up to three bytes long, with the count of each following byte over all training
+The model is a trie of byte contexts up to four bytes long, with the count of each following byte over all training
 texts. A byte is coded in the longest context of the trie; if it was never seen there, an escape is coded, in
 proportion to the number of distinct bytes seen (method C), and the next shorter context is tried without the bytes
 that the longer one has already ruled out. The model is trained in advance and stays fixed while it scores.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import common as C
 
-ORDER = 3
+ORDER = 4
 #: Bound of the broadcast trie: of its deepest nodes at most so many, the most frequent, are kept.
 MAX_NODES = 4_000_000
 _HELD = 2_000_000
@@ -38,14 +38,14 @@ def held_out(shard: C.Shard, folds: int, chosen: int) -> np.ndarray:
 # The trie -----------------------------------------------------------------------------------------------------------
 
 
-def nodes_of(buffer: np.ndarray) -> np.ndarray:
-    """Per byte, its three predecessors and itself as one number. What lies before the start of a text counts as ``END``."""
-    padded = np.concatenate([np.full(ORDER, C.END, np.uint8), buffer])
-    key, closed = buffer.astype(np.uint32), np.zeros(len(buffer), bool)
-    for back in range(1, ORDER + 1):
-        before = padded[ORDER - back : ORDER - back + len(buffer)]
+def nodes_of(buffer: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """Per byte, its ``order`` predecessors and itself as one number. What lies before the start of a text counts as ``END``."""
+    padded = np.concatenate([np.full(order, C.END, np.uint8), buffer])
+    key, closed = buffer.astype(np.uint64), np.zeros(len(buffer), bool)
+    for back in range(1, order + 1):
+        before = padded[order - back : order - back + len(buffer)]
         closed |= before == C.END
-        key |= np.where(closed, np.uint32(C.END), before.astype(np.uint32)) << np.uint32(8 * back)
+        key |= np.where(closed, np.uint8(C.END), before).astype(np.uint64) << np.uint64(8 * back)
     return key
 
 
@@ -59,22 +59,22 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class Trie:
     """Log10 probabilities of a set of counted nodes, ready for lookups; ``keys`` are ascending."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        self.levels = []  # from the longest context to the empty one
-        key, count = keys.astype(np.uint32), counts.astype(np.int64)
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int = ORDER):
+        self.order, deepest, self.levels = order, order, []  # from the longest context to the empty one
+        key, count = keys.astype(np.uint64), counts.astype(np.int64)
         longer = None
-        for order in range(ORDER, -1, -1):
-            if order < ORDER:
-                key, count = _summed(key & np.uint32((1 << 8 * (order + 1)) - 1), count)
-            context, at, distinct = np.unique(key >> np.uint32(8), return_inverse=True, return_counts=True)
+        for order in range(deepest, -1, -1):
+            if order < deepest:
+                key, count = _summed(key & np.uint64((1 << 8 * (order + 1)) - 1), count)
+            context, at, distinct = np.unique(key >> np.uint64(8), return_inverse=True, return_counts=True)
             total = np.bincount(at, count, len(context))
             whole = np.log10(np.maximum(total + distinct, 1))
             level = {"key": key, "count": np.log10(count), "plain": np.log10(count) - whole[at], "context": context, "escape": np.log10(np.maximum(distinct, 1)) - whole}
             if longer is not None:
                 # What each longer context leaves of this one.
-                own = longer["raw_key"] & np.uint32((1 << 8 * (order + 1)) - 1)
+                own = longer["raw_key"] & np.uint64((1 << 8 * (order + 1)) - 1)
                 ruled_out = np.bincount(longer["at"], count[np.searchsorted(key, own)], len(longer["context"]))
-                parent = np.searchsorted(context, longer["context"] & np.uint32((1 << 8 * order) - 1))
+                parent = np.searchsorted(context, longer["context"] & np.uint64((1 << 8 * order) - 1))
                 left, kinds = total[parent] - ruled_out, distinct[parent] - longer["distinct"]
                 longer["rest"] = np.log10(np.maximum(left + kinds, 1))
                 longer["rest_escape"] = np.where(kinds > 0, np.log10(np.maximum(kinds, 1)) - longer["rest"], 0.0)
@@ -99,10 +99,10 @@ class Trie:
         open_ = np.flatnonzero(longer["key"][at] != node)
         result[open_] = 0
         ruled = np.full(len(open_), -1)  # number of the longer context that an escape came from
-        for order in range(ORDER, -1, -1):
-            level = self.levels[ORDER - order]
-            key = node[open_] & np.uint32((1 << 8 * (order + 1)) - 1)
-            if order < ORDER:
+        for order in range(self.order, -1, -1):
+            level = self.levels[self.order - order]
+            key = node[open_] & np.uint64((1 << 8 * (order + 1)) - 1)
+            if order < self.order:
                 at = np.minimum(np.searchsorted(level["key"], key), len(level["key"]) - 1)
                 found = level["key"][at] == key
                 at, from_ = at[found], ruled[found]
@@ -110,10 +110,10 @@ class Trie:
                 open_, key, ruled = open_[~found], key[~found], ruled[~found]
             if not len(open_):
                 return result
-            context = np.minimum(np.searchsorted(level["context"], key >> np.uint32(8)), len(level["context"]) - 1)
-            there = level["context"][context] == key >> np.uint32(8)
+            context = np.minimum(np.searchsorted(level["context"], key >> np.uint64(8)), len(level["context"]) - 1)
+            there = level["context"][context] == key >> np.uint64(8)
             escape = level["escape"][context]
-            if order < ORDER:
+            if order < self.order:
                 escape = np.where(ruled >= 0, longer["rest_escape"][ruled], escape)
             result[open_] += np.where(there, escape, 0.0)
             ruled, longer = np.where(there, context, -1), level
@@ -126,12 +126,12 @@ def train(shards: DataFrame, folds: int, chosen: int, n_parts: int) -> Trie:
     fields = C.pa_schema("part long, keys binary, counts binary")
 
     def rows(keys, counts):
-        part = C.part_of(C.mix(keys.astype(np.uint64)), n_parts)
+        part = C.part_of(C.mix(keys), n_parts)
         made = [(p, *blobs) for p, _, blobs in C.blobs_by_part(part, n_parts, keys, counts)]
         return C.record_batch(dict(zip(fields.names, zip(*made, strict=True), strict=True)), fields)
 
     def count(batches):
-        keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = C.unpack(number, payload)
@@ -145,7 +145,7 @@ def train(shards: DataFrame, folds: int, chosen: int, n_parts: int) -> Trie:
             yield rows(keys, counts)
 
     def add(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()])
+        keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()])
         counts = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()])
         keys, counts = _summed(keys, counts)
         return pa.table({"n": pa.array([len(keys)], pa.int64()), "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
@@ -156,7 +156,7 @@ def train(shards: DataFrame, folds: int, chosen: int, n_parts: int) -> Trie:
     if nodes > MAX_NODES:
         summed = _most_frequent(summed)
     parts = summed.select("keys", "counts").collect()  # at most MAX_NODES nodes of 12 bytes
-    keys = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(r["keys"], np.uint32) for r in parts)])
+    keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["keys"], np.uint64) for r in parts)])
     counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in parts)])
     order = np.argsort(keys)
     return Trie(keys[order], counts[order])
@@ -183,7 +183,7 @@ def _most_frequent(summed: DataFrame) -> DataFrame:
     def cut(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                keys, counts = np.frombuffer(row["keys"], np.uint32), np.frombuffer(row["counts"], np.int64)
+                keys, counts = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.int64)
                 kept = counts >= least
                 yield C.record_batch({"n": [int(kept.sum())], "keys": [keys[kept].tobytes()], "counts": [counts[kept].tobytes()]}, fields)
 

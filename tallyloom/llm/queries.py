@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, fm_index, ngram_join, ppm, suffix_dedup, superkmers
+from tallyloom.llm import bpe, fm_index, html_mincut, langid, ngram_join, ppm, quality, redirects, suffix_dedup, superkmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL with the same rows, for the queries that SQL can express.
@@ -93,3 +93,44 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of the documents and their decoding."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trips(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of the documents, learned from three quarters of them."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the documents, from base rules and trees fitted on the labels."""
+    found = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op10_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of the pages."""
+    return html_mincut.extract(table(spark, sf_dir, "pages"))
+
+
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query
+def op5_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the addresses of the pages, with the links that the pages state."""
+    return redirects.filter_urls(table(spark, sf_dir, "pages"), redirects.rules_table(spark, URL_RULES))
+
+
+# The given pages state no redirect and no canonical link, so the verdict without a rule is always allow.
+SQL["op5_redirect_filter"] = """
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rules(rule, host_part, path_part, action) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+found AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(action, length(rule)) AS action
+  FROM parts JOIN rules ON (host = host_part OR ends_with(host, '.' || host_part)) AND starts_with(path, path_part) GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM parts LEFT JOIN found USING (page_id)
+"""
