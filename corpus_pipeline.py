@@ -1,21 +1,52 @@
-"""Corpus preparation in stages: each reads what the one before has written."""
+"""Corpus preparation in five stages; each reads what the one before has written.
+
+Every stage takes and returns documents with all their columns, but the last, which returns their tokens. Texts that a
+stage shortens have a matching ``n_chars`` where there is such a column.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import ngram_join
+from tallyloom.llm import bpe, fm_index, ngram_join, quality, superkmers
 from tallyloom.llm.common import staged
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules, or are poor by trees fitted on the labels, go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
     return ngram_join.first_of_each_group(docs)
 
 
-STAGES = [("n-gram Jaccard join", near_duplicates)]
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Windows of 20 words that start earlier in what is left are cut out; emptied documents stay, empty."""
+    return superkmers.remove_repeats(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans that hold windows of ten words of the benchmark are cut out."""
+    return fm_index.remove_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the texts: ``doc_id, n_tokens, tokens``."""
+    return bpe.token_ids(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_passages),
+    ("byte-level BPE", tokens),
+]
 
-#: The trained quality model and the token ids can't be said in SQL.
+#: The trees' verdicts and the token ids can't be said in SQL.
 ORACLE_SQL = None
 
 

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Raw bytes of text packed into one shard; a longer document is a shard of its own.
 SHARD_BYTES = 4 << 20
@@ -66,56 +68,79 @@ def limit_batches(spark: SparkSession) -> None:
 # Shards -------------------------------------------------------------------------------------------------------------
 
 
-def _row_blob(batch: pa.RecordBatch) -> bytes:
+def _row_blob(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
 
 def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    task = TaskContext.get().partitionId()
-    ids, texts, size, made = [], [], 0, 0
+    """Batches have ``doc_id``, ``text`` and then the columns that are carried along."""
+    task, made = TaskContext.get().partitionId(), 0
+    held: list[pa.Table] = []
+    rows = size = 0
 
     def flush():
-        nonlocal made
-        joined = pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_binary())})
-        shard = (task << 20) | made
-        made += 1
-        return pa.record_batch(
-            {
-                "shard": pa.array([shard], pa.int64()),
-                "n_docs": pa.array([len(ids)], pa.int64()),
-                "n_bytes": pa.array([size], pa.int64()),
-                "payload": pa.array([_row_blob(joined)], pa.binary()),
-            }
-        )
+        nonlocal made, rows, size
+        row = {"shard": [(task << 20) | made], "n_docs": [rows], "n_bytes": [size], "payload": pa.array([_row_blob(pa.concat_tables(held))], pa.binary())}
+        made, rows, size = made + 1, 0, 0
+        held.clear()
+        return pa.record_batch(row)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
-            text = (text or b"") + b"\xff"
-            if ids and (size + len(text) > limit or len(ids) >= (1 << _DOC_BITS) - 1):
+        text = pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
+        text = pc.binary_join_element_wise(text, pa.scalar(b"", pa.large_binary()), pa.scalar(b"\xff", pa.large_binary()))
+        table = pa.Table.from_batches([batch]).set_column(1, "text", text)
+        lengths, start = pc.binary_length(text).to_pylist(), 0
+        for i, length in enumerate(lengths):
+            if rows and (size + length > limit or rows >= (1 << _DOC_BITS) - 1):
+                held.append(table.slice(start, i - start))
+                start = i
                 yield flush()
-                ids, texts, size = [], [], 0
-            ids.append(doc_id)
-            texts.append(text)
-            size += len(text)
-    if ids:
+            rows, size = rows + 1, size + length
+        held.append(table.slice(start))
+    if rows:
         yield flush()
 
 
-def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, carry: bool = False) -> DataFrame:
     """Stage ``doc_id`` and ``text`` of every row as shards: ``shard, n_docs, n_bytes, payload``.
 
-    A null text is packed as empty; rows with equal or null ids stay rows of their own.
+    A null text is packed as empty; rows with equal or null ids stay rows of their own. With ``carry`` all columns
+    travel in the shard, for :func:`whole_rows`.
     """
     limit_batches(docs.sparkSession)
-    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return staged(
-        columns.mapInArrow(
-            lambda batches: _pack(batches, shard_bytes), "shard long, n_docs long, n_bytes long, payload binary"
-        )
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    if carry:
+        columns += [F.col(f"`{name}`").alias(f"carried {i}") for i, name in enumerate(docs.columns)]
+    packed = docs.select(*columns).mapInArrow(
+        lambda batches: _pack(batches, shard_bytes), "shard long, n_docs long, n_bytes long, payload binary"
     )
+    return staged(packed)
+
+
+def whole_rows(shards: DataFrame, schema: StructType, texts: Callable[..., list[str]], *extra: str) -> DataFrame:
+    """The carried rows with new texts, and ``n_chars`` to match if there is such a column.
+
+    ``texts`` gives the new text of each document of a shard.
+    """
+    fields, names = to_arrow_schema(schema), schema.names
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                shard = unpack(row["shard"], row["payload"])
+                new = texts(shard, *(row[name] for name in extra))
+                columns = [shard.table.column(f"carried {i}") for i in range(len(names))]
+                old = columns[names.index("text")].to_pylist()
+                columns[names.index("text")] = pa.chunked_array([pa.array([None if o is None else n for o, n in zip(old, new, strict=True)], pa.string())])
+                if "n_chars" in names:
+                    columns[names.index("n_chars")] = pa.chunked_array([pa.array([len(n) for n in new], pa.int64())])
+                arrays = [c.combine_chunks().cast(f.type) for c, f in zip(columns, fields, strict=True)]
+                yield pa.record_batch([a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays], schema=fields)
+
+    return shards.select("shard", "payload", *extra).mapInArrow(run, schema)
 
 
 def parts_for(shards: DataFrame, part_bytes: int = 2 << 20) -> int:
@@ -147,6 +172,7 @@ def unpack(shard: int, payload: bytes) -> Shard:
         ids=pc.fill_null(ids, np.iinfo(np.int64).min).to_numpy(zero_copy_only=False),
         known=pc.is_valid(ids).to_numpy(zero_copy_only=False),
         n=len(ids),
+        table=table,
     )
 
 
@@ -375,6 +401,14 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def cut_texts(shard: Shard, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    """The texts of a shard without the given byte spans, which begin and end between characters."""
+    keep = ~covered(len(shard.buffer), starts, ends)
+    at = np.concatenate([[0], np.cumsum(keep)])[shard.offsets]
+    kept = shard.buffer[keep].tobytes()
+    return [kept[a : b - 1].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

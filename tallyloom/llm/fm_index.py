@@ -255,3 +255,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
     found = benchmark_hits(docs, benchmark, window).select("doc_id", "n_words", "n_hit", "items")
     return found.mapInArrow(digest, schema)
+
+
+def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """``docs`` with the merged spans of all hits cut out of their texts; see :func:`benchmark_hits`.
+
+    All rows and columns stay; ``n_chars``, if there, counts the new text. A null text stays null.
+    """
+    shards = C.shards_of(docs, carry=True)
+    hits = benchmark_hits(docs, benchmark, window, shards).filter("n_hit > 0")
+    by_shard = hits.groupBy(F.shiftright("ref", 20).alias("shard")).agg(F.collect_list(F.struct("ref", "starts", "ends")).alias("hits"))
+
+    def texts(shard, hits):
+        spans = [(shard.offsets[h["ref"] & 0xFFFFF], np.frombuffer(h["starts"], np.int64), np.frombuffer(h["ends"], np.int64)) for h in hits or ()]
+        none = [np.zeros(0, np.int64)]
+        return C.cut_texts(shard, np.concatenate(none + [at + a for at, a, _ in spans]), np.concatenate(none + [at + b for at, _, b in spans]))
+
+    return C.whole_rows(shards.join(by_shard, "shard", "left"), docs.schema, texts, "hits")

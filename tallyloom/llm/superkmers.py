@@ -104,18 +104,10 @@ def _answer(k: int):
     return answer
 
 
-def without_repeats(docs: DataFrame, k: int = 20, m: int = 5, texts: bool = False) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256`` (and ``text`` if ``texts``) for every row of ``docs``.
-
-    Removed is each word covered by a window of ``k`` consecutive words of one document whose words also start
-    earlier: in a document of a smaller id, or earlier in the same one. Windows are judged on the input. Words are runs
-    without white space, unchanged; null and empty texts have none. Rows with equal ids are separate documents in a
-    fixed order; a null id counts as the smallest. ``kept_sha256`` is of the kept words joined by one space; ``text``
-    keeps the white space after every kept word. Words are compared as 64-bit hashes.
-    """
-    shards = C.shards_of(docs)
+def _judged(docs: DataFrame, k: int, m: int, carry: bool):
+    """The shards with what is known of their windows, and a function that tells the words to remove from it."""
+    shards = C.shards_of(docs, carry=carry)
     parts = C.parts_for(shards)
-
     flags = C.staged(C.shared_flags(shards, lambda shard: C.distinct_with_twice(_scan(shard, k, m).key), parts))
 
     def read(shard, answers):
@@ -143,7 +135,7 @@ def without_repeats(docs: DataFrame, k: int = 20, m: int = 5, texts: bool = Fals
     answers = sent.groupBy("part").applyInArrow(_answer(k), "part long, shard long, bits binary")
     repeats = C.staged(answers.groupBy("shard").agg(F.collect_list(F.struct("part", "bits")).alias("repeats")))
 
-    def finish(shard, answers, repeats):
+    def repeated(shard, answers, repeats) -> tuple[SimpleNamespace, np.ndarray]:
         scan, sent, known = read(shard, answers)
         by_part = {a["part"]: a["bits"] for a in repeats or ()}
         first, last = [scan.first[known]], [scan.first[known] + scan.windows[known] - 1]
@@ -154,18 +146,42 @@ def without_repeats(docs: DataFrame, k: int = 20, m: int = 5, texts: bool = Fals
             at = np.repeat(scan.first[chosen] - (np.cumsum(windows) - windows), windows) + np.arange(len(bits))
             first.append(at[bits])
             last.append(at[bits])
-        gone = C.covered(len(scan.starts), np.concatenate(first), np.concatenate(last) + k)
+        return scan, C.covered(len(scan.starts), np.concatenate(first), np.concatenate(last) + k)
+
+    return flagged.join(repeats, "shard", "left"), repeated
+
+
+def without_repeats(docs: DataFrame, k: int = 20, m: int = 5) -> DataFrame:
+    """``doc_id, n_words, n_removed, kept_sha256`` for every row of ``docs`` (``doc_id, text``, more columns are ignored).
+
+    Removed is each word covered by a window of ``k`` consecutive words of one document whose words also start
+    earlier: in a document of a smaller id, or earlier in the same one. Windows are judged on the input. Words are runs
+    without white space, unchanged; null and empty texts have none. Rows with equal ids are separate documents in a
+    fixed order; a null id counts as the smallest. ``kept_sha256`` is of the kept words joined by one space. Words are
+    compared as 64-bit hashes.
+    """
+    shards, repeated = _judged(docs, k, m, carry=False)
+
+    def finish(shard, answers, repeats):
+        scan, gone = repeated(shard, answers, repeats)
         total = np.concatenate([[0], np.cumsum(gone)])
-        out = {"doc_id": C.id_array(shard), "n_words": np.diff(scan.firsts), "n_removed": total[scan.firsts[1:]] - total[scan.firsts[:-1]]}
         joined, ends = _kept_bytes(shard.buffer, scan, gone)
         raw = joined.tobytes()
-        out["kept_sha256"] = [C.sha256(raw[a : max(a, b - 1)]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        if texts:
-            out["text"] = _kept_texts(shard, scan, gone)
-        yield out
+        yield {
+            "doc_id": C.id_array(shard), "n_words": np.diff(scan.firsts), "n_removed": total[scan.firsts[1:]] - total[scan.firsts[:-1]],
+            "kept_sha256": [C.sha256(raw[a : max(a, b - 1)]) for a, b in zip(ends[:-1], ends[1:], strict=True)],
+        }
+
+    return C.map_shards(shards, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string", "answers", "repeats")
+
 
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * texts
-    return C.map_shards(flagged.join(repeats, "shard", "left"), finish, schema, "answers", "repeats")
+def remove_repeats(docs: DataFrame, k: int = 20, m: int = 5) -> DataFrame:
+    """``docs`` with the words cut out that :func:`without_repeats` removes, and the white space after them.
+
+    All rows and columns stay; ``n_chars``, if there, counts the new text. A null text stays null.
+    """
+    shards, repeated = _judged(docs, k, m, carry=True)
+    return C.whole_rows(shards, docs.schema, lambda shard, *facts: _kept_texts(shard, *repeated(shard, *facts)), "answers", "repeats")
 
 
 def _kept_bytes(buffer: np.ndarray, scan: SimpleNamespace, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,11 +197,5 @@ def _kept_bytes(buffer: np.ndarray, scan: SimpleNamespace, gone: np.ndarray) ->
 def _kept_texts(shard: C.Shard, scan: SimpleNamespace, gone: np.ndarray) -> list[str]:
     """The texts without the removed words and the white space after them."""
     following = np.append(scan.starts[1:], len(shard.buffer))
-    doc = scan.doc
-    ends = np.minimum(following, shard.offsets[1:][doc] - 1)
-    cut = C.covered(len(shard.buffer), scan.starts[gone], ends[gone])
-    keep = ~cut
-    total = np.concatenate([[0], np.cumsum(keep)])
-    kept = shard.buffer[keep].tobytes()
-    at = total[shard.offsets]
-    return [kept[a : b - 1].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
+    ends = np.minimum(following, shard.offsets[1:][scan.doc] - 1)
+    return C.cut_texts(shard, scan.starts[gone], ends[gone])
