@@ -91,18 +91,20 @@ class WaveletTree:
 
 
 class FMIndex:
-    """Index of a sequence of numbers from 0 to ``top``."""
+    """Index of a sequence of numbers from 0 to ``top``; inside, all are one higher and a single 0 ends the sequence."""
 
     def __init__(self, text: np.ndarray, top: int):
+        text = np.append(text + 1, 0)
         order = suffix_order(text)
-        self.before = text[order - 1] if len(text) else text  # the first suffix has the last symbol before it
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
-        self.tree = WaveletTree(self.before, max(1, int(top).bit_length()))
+        self.before = text[order - 1]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 2))])
+        self.tree = WaveletTree(self.before, int(top + 1).bit_length())
         self.sampled = order % SAMPLE == 0
         self.place = np.where(self.sampled, order, 0)
 
     def search(self, phrases: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows ``low .. high`` of each phrase; symbols are right-aligned in ``phrases``."""
+        phrases = phrases + 1
         last = phrases[:, -1]
         low, high = self.starts[last], self.starts[last + 1]
         for back in range(2, phrases.shape[1] + 1):
