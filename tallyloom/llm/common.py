@@ -306,13 +306,21 @@ def _byte_codes() -> np.ndarray:
     return codes | np.uint64(1)
 
 
+_BASE = 0x9E3779B97F4A7C15
+
+
 @lru_cache(maxsize=4)
-def _powers(n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.full(n, 0x9E3779B97F4A7C15 | 1, np.uint64))
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.full(n, base, np.uint64))
 
 
 def powers(n: int) -> np.ndarray:
-    return _powers(1 << max(10, int(n).bit_length()))
+    """At least ``n`` powers of an odd number, modulo 2^64."""
+    return _powers(_BASE, 1 << max(10, int(n).bit_length()))
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    return _powers(pow(_BASE, -1, 1 << 64), 1 << max(10, int(n).bit_length()))
 
 
 @lru_cache

@@ -8,10 +8,11 @@ and nothing that could be one is lost:
 2. The *piece* of an anchor is all that any window around it can cover. Where the pieces of two anchors are equal, all
    their windows are repeats and no byte needs to be compared.
 3. Pieces that differ share a window only if they agree on one of four contexts around the anchor (see ``_contexts``).
-   One representative of each such piece goes to a group for each context that it shares.
-4. In a group the pieces are sorted: the suffixes that are smaller than their successors directly, all others by scans
+   One representative of each such piece goes to the home of its gram, the first document that has the gram. Texts
+   that are copies of each other in part share most homes, so their pieces travel as whole segments.
+4. In a home the segments are sorted: the suffixes that are smaller than their successors directly, all others by scans
    over the buckets; adjacent suffixes with a common prefix of ``length`` bytes at different places are repeats.
-   Groups beyond a bound are not sorted; there all windows are counted by their hash in a shuffle.
+   Homes beyond a bound are not sorted; there all windows are counted by their hash in a shuffle.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ from pyspark.sql import functions as F
 from tallyloom.llm import common as C
 
 GRAM = 32
-#: Bytes of pieces sorted at a time, as a mean.
+#: Bytes of segments sorted at a time, as a mean.
 SORT_BYTES = 1 << 18
-#: Pieces of one context that are sorted together; beyond it windows are counted by hash.
-SORT_PIECES = 8192
+#: Bytes of one home that are sorted together; beyond it windows are counted by hash.
+SORT_LIMIT = 8 << 20
+#: Bytes whose grams are hashed at a time, so that they stay in the processor's cache.
+BLOCK = 1 << 16
 _CONTEXTS = 4
-_TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+_TOP, _TOP32 = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint32(0xFFFFFFFF)
 
 
 # Anchors ------------------------------------------------------------------------------------------------------------
@@ -51,23 +54,27 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
 
 def anchors(shard: C.Shard, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and gram hashes: all smallest grams of every window of ``length`` bytes inside one document."""
-    buffer, width = shard.buffer, length - GRAM + 1
-    if len(buffer) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    grams, span = C._byte_codes()[buffer], 1
-    while span < GRAM:
-        grams = grams[:-span] * C.powers(64)[span] + grams[span:]
-        span *= 2
-    grams = C.mix(grams)
-    ends = shard.offsets[1:] - 1
-    for end in ends.tolist():  # grams over the end of a document
-        grams[max(0, end - GRAM + 1) : end + 1] = _TOP
-    least = _sliding(grams, width, np.minimum)
-    for end in ends.tolist():  # windows over the end of a document
-        least[max(0, end - length + 1) : end + 1] = 0
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    at = np.flatnonzero((_sliding(padded, width, np.maximum) == grams) & (grams != _TOP))
-    return at, grams[at]
+    width, places, hashes = length - GRAM + 1, [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    every = shard.offsets[1:] - 1
+    for start in range(0, len(shard.buffer) - length + 1, BLOCK):
+        text = shard.buffer[start : start + BLOCK + length - 1]
+        grams, span = C._byte_codes()[text], 1
+        while span < GRAM:
+            grams = grams[:-span] * C.powers(64)[span] + grams[span:]
+            span *= 2
+        order = ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        ends = (every[np.searchsorted(every, start) : np.searchsorted(every, start + len(text))] - start).tolist()
+        for end in ends:  # grams over the end of a document
+            order[max(0, end - GRAM + 1) : end + 1] = _TOP32
+        least = _sliding(order, width, np.minimum)
+        for end in ends:  # windows over the end of a document
+            least[max(0, end - length + 1) : end + 1] = 0
+        none = np.zeros(width - 1, np.uint32)
+        at = np.flatnonzero((_sliding(np.concatenate([none, least, none]), width, np.maximum) == order) & (order != _TOP32))
+        places.append(start + at)
+        hashes.append(C.mix(grams[at]))
+    at, first = np.unique(np.concatenate(places), return_index=True)
+    return at, np.concatenate(hashes)[first]
 
 
 def _pieces(shard: C.Shard, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,10 +111,11 @@ def _entries(shard: C.Shard, at: np.ndarray, grams: np.ndarray, length: int) ->
     return {
         "at": at, "entry": entry.astype(np.int64), "first": at[first], "gram": grams[first], "piece": piece[first],
         "twice": (count > 1).astype(np.uint8), "keys": keys.ravel(),
+        "doc": np.searchsorted(shard.offsets, at[first], side="right") - 1,
     }
 
 
-_ENTRY_TYPES = {"at": np.int64, "entry": np.int64, "first": np.int64, "gram": np.uint64, "piece": np.uint64, "twice": np.uint8, "keys": np.uint64}
+_ENTRY_TYPES = {"at": np.int64, "entry": np.int64, "first": np.int64, "gram": np.uint64, "piece": np.uint64, "twice": np.uint8, "keys": np.uint64, "doc": np.int64}
 
 
 def _read_entries(row: dict) -> SimpleNamespace:
@@ -136,49 +144,92 @@ def _answer(table: pa.Table) -> pa.Table:
         own = firsts[keys[firsts, j] > 0]
         _, inverse, count = np.unique(keys[own, j], return_inverse=True, return_counts=True)
         said[own[count[inverse] > 1]] |= 1 << (2 + j)
+    # The home of a gram: the first document with a piece that has to be compared.
+    place = (np.repeat(np.array(rows["shard"]), [len(x) for x in grams]) << 20) | np.concatenate([np.frombuffer(x, np.int64) for x in rows["doc"]])
+    place[(said & FIRST == 0) | (said < 4)] = np.iinfo(np.int64).max
+    heads = np.flatnonzero(np.concatenate([[True], gram[order[1:]] != gram[order[:-1]]]))
+    home = np.empty(len(order), np.int64)
+    home[order] = np.repeat(np.minimum.reduceat(place[order], heads), np.diff(np.append(heads, len(order))))
     ends = np.cumsum([0, *map(len, grams)])
-    return pa.table({"part": table.column("part"), "shard": table.column("shard"), "said": pa.array([said[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())})
 
+    def blobs(values):
+        return pa.array([values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
 
-def _said(entries: SimpleNamespace, answers, n_parts: int) -> np.ndarray:
-    said, by_part = np.zeros(len(entries.gram), np.uint8), {a["part"]: a["said"] for a in answers or ()}
-    for p, at, _ in C.blobs_by_part(C.part_of(entries.gram, n_parts), n_parts):
-        said[at] = np.frombuffer(by_part[p], np.uint8)
-    return said
+    return pa.table({"part": table.column("part"), "shard": table.column("shard"), "said": blobs(said), "home": blobs(home)})
 
 
-# Suffix arrays ------------------------------------------------------------------------------------------------------
+def _told(entries: SimpleNamespace, answers, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
+    said, home = np.zeros(len(entries.gram), np.uint8), np.zeros(len(entries.gram), np.int64)
+    by_part = {a["part"]: a for a in answers or ()}
+    for p, at, _ in C.blobs_by_part(C.part_of(entries.gram, n_parts), n_parts):
+        said[at] = np.frombuffer(by_part[p]["said"], np.uint8)
+        home[at] = np.frombuffer(by_part[p]["home"], np.int64)
+    return said, home
 
 
-def _eight_bytes(text: np.ndarray, beyond: int) -> np.ndarray:
-    """The 8 bytes at each place as one number, zeros after the end."""
-    value = np.concatenate([text, np.zeros(beyond + 8, np.uint8)]).astype(np.uint64)
-    for span in (1, 2, 4):
-        value = (value[:-span] << np.uint64(8 * span)) | value[span:]
-    return value
+# Suffix arrays ------------------------------------------------------------------------------------------------------
 
 
-def _sort_directly(places: np.ndarray, eight: np.ndarray, depth: int) -> np.ndarray:
+class Ranks:
+    """Order of the strings of 8, 16, 32 and 64 bytes at each place; after the end of the text come zeros."""
+
+    def __init__(self, text: np.ndarray, beyond: int):
+        padded = np.concatenate([text, np.zeros(beyond + 64 + 7, np.uint8)]).astype(np.uint64)
+        for span in (1, 2, 4):
+            padded = (padded[:-span] << np.uint64(8 * span)) | padded[span:]
+        self.eight, self.by_size = padded, {8: self._dense(padded)}
+        for size in (8, 16, 32):
+            rank = self.by_size[size].astype(np.int64)
+            following = np.append(rank[size:], np.full(size, rank[-1]))
+            self.by_size[2 * size] = self._dense(rank * len(rank) + following)
+
+    @staticmethod
+    def _dense(keys: np.ndarray) -> np.ndarray:
+        order = np.argsort(keys, kind="stable")
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[order[1:]] != keys[order[:-1]]
+        rank = np.empty(len(keys), np.int32)
+        rank[order] = np.cumsum(new) - 1
+        return rank
+
+    def equal(self, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+        """Whether the ``length`` bytes at each of ``a`` and ``b`` are the same."""
+        same, open_, at = np.ones(len(a), bool), np.arange(len(a)), 0
+        while at < length:
+            size = next((s for s in (64, 32, 16, 8) if s <= length - at), 0)
+            if size:
+                rank = self.by_size[size]
+                ok = rank[a[open_] + at] == rank[b[open_] + at]
+            else:  # the last few bytes
+                size = length - at
+                ok = (self.eight[a[open_] + at] ^ self.eight[b[open_] + at]) >> np.uint64(8 * (8 - size)) == 0
+            same[open_[~ok]] = False
+            open_, at = open_[ok], at + size
+        return same
+
+
+def _sort_directly(places: np.ndarray, ranks: Ranks, depth: int) -> np.ndarray:
     """``places`` in the order of the suffixes there, by ``depth`` bytes; equal ones stay in order of place."""
-    order = places[np.argsort(eight[places], kind="stable")]
+    rank = ranks.by_size[64]
+    order = places[np.argsort(rank[places], kind="stable")]
     if len(order) < 2:
         return order
     new = np.ones(len(order), bool)
-    new[1:] = eight[order[1:]] != eight[order[:-1]]
-    for step in range(8, depth, 8):
+    new[1:] = rank[order[1:]] != rank[order[:-1]]
+    for step in range(64, depth, 64):
         head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
         size = np.diff(np.append(np.flatnonzero(new), len(order)))
         tied = np.flatnonzero(np.repeat(size > 1, size))
         if not len(tied):
             break
-        key, group = eight[order[tied] + step], head[tied]
-        by = np.lexsort((key, group))
+        key = head[tied] * len(rank) + rank[order[tied] + step]
+        by = np.argsort(key, kind="stable")
         order[tied], key = order[tied[by]], key[by]
-        new[tied[1:]] |= (key[1:] != key[:-1]) & (group[1:] == group[:-1])
+        new[tied[1:]] |= key[1:] != key[:-1]
     return order
 
 
-def two_stage_suffix_array(text: np.ndarray, depth: int, eight: np.ndarray | None = None) -> np.ndarray:
+def two_stage_suffix_array(text: np.ndarray, depth: int, ranks: Ranks | None = None) -> np.ndarray:
     """The suffixes of ``text`` in order, by at least ``depth`` bytes.
 
     Directly sorted are only suffixes that are smaller than their successors. Any other suffix is larger than the one
@@ -187,12 +238,12 @@ def two_stage_suffix_array(text: np.ndarray, depth: int, eight: np.ndarray | Non
     n = len(text)
     if not n:
         return np.zeros(0, np.int64)
-    eight = _eight_bytes(text, depth) if eight is None else eight
+    ranks = Ranks(text, depth) if ranks is None else ranks
     change = np.flatnonzero(text[1:] != text[:-1])
     following = np.searchsorted(change, np.arange(n))
     rises = np.append(text[change] < text[change + 1], False)  # after the last change a suffix outlasts its successor
     smaller = rises[following]
-    direct = _sort_directly(np.flatnonzero(smaller), eight, depth)
+    direct = _sort_directly(np.flatnonzero(smaller), ranks, depth)
     edges = np.searchsorted(text[direct], np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     induced[text[n - 1]].append(np.array([n - 1]))
@@ -217,72 +268,72 @@ def two_stage_suffix_array(text: np.ndarray, depth: int, eight: np.ndarray | Non
     return np.concatenate(result)
 
 
-def common_prefixes(order: np.ndarray, eight: np.ndarray, length: int) -> np.ndarray:
-    """Common prefix of each suffix with the one before it, in whole steps of 8 bytes and at most ``length``."""
-    common = np.zeros(len(order), np.int64)
-    open_ = np.arange(1, len(order))
-    for step in range(0, length, 8):
-        mask = _TOP if length - step >= 8 else _TOP << np.uint64(8 * (8 - (length - step)))
-        same = ((eight[order[open_] + step] ^ eight[order[open_ - 1] + step]) & mask) == 0
-        open_ = open_[same]
-        common[open_] = min(step + 8, length)
-    return common
-
-
-def _repeats(pieces: list[bytes], shards: np.ndarray, starts: np.ndarray, full: np.ndarray, length: int):
-    """Place ``(piece, offset)`` of each window that repeats in another place."""
-    text = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8)
-    sizes = np.array([len(p) for p in pieces])
+def _repeats(segments: list[bytes], shards: np.ndarray, starts: np.ndarray, known: list[np.ndarray], length: int):
+    """Segment and offset of each window that repeats in another place and is not among the ``known`` spans."""
+    text = np.frombuffer(b"\xff".join(segments) + b"\xff", np.uint8)
+    sizes = np.array([len(p) for p in segments])
     heads = np.cumsum(sizes + 1) - sizes - 1
-    eight = _eight_bytes(text, length + 8)
-    order = two_stage_suffix_array(text, length, eight)
-    piece = np.searchsorted(heads, order, side="right") - 1
-    fits = order - heads[piece] + length <= sizes[piece]
-    order, piece = order[fits], piece[fits]
+    ranks = Ranks(text, length + 64)
+    order = two_stage_suffix_array(text, length, ranks)
+    spans = np.concatenate([k + h for k, h in zip(known, heads, strict=True)])  # spans of repeats, not of windows
+    sure = C.covered(len(text), spans[:, 0], np.maximum(spans[:, 1] - length + 1, spans[:, 0]))
+    segment = np.searchsorted(heads, order, side="right") - 1
+    fits = order - heads[segment] + length <= sizes[segment]
+    order, segment = order[fits], segment[fits]
     if len(order) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    run = np.cumsum(common_prefixes(order, eight, length) < length) - 1
-    offset = order - heads[piece]
-    place = starts[piece] + offset
+    # Adjacent suffixes with a common prefix of the full length are one run.
+    run = np.cumsum(np.concatenate([[True], ~ranks.equal(order[1:], order[:-1], length)])) - 1
+    offset = order - heads[segment]
+    place, shard = starts[segment] + offset, shards[segment]
     head = np.searchsorted(run, run)  # first of the run
-    differs = (shards[piece] != shards[piece[head]]) | (place != place[head]) | full[piece]
-    repeats = (np.bincount(run, differs)[run] > 0) & ~full[piece]
-    return piece[repeats], offset[repeats]
+    differs = (shard != shard[head]) | (place != place[head]) | sure[order]
+    repeats = (np.bincount(run, differs)[run] > 0) & ~sure[order]
+    return segment[repeats], offset[repeats]
 
 
 # The operator -------------------------------------------------------------------------------------------------------
 
 
+def _pairs(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, np.int64).reshape(-1, 2)
+
+
 def _sort_groups(length: int):
     def make(rows) -> Iterator[dict]:
-        shards, starts, full = np.array(rows["shard"]), np.array(rows["start"]), np.array(rows["full"], bool)
-        piece, offset = _repeats(rows["piece"], shards, starts, full, length)
-        if len(piece):
-            order = np.lexsort((offset, piece))
-            piece, offset = piece[order], offset[order]
-            new = np.ones(len(piece), bool)
-            new[1:] = (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1)
-            head, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:] - 1, len(piece) - 1)
-            at = starts[piece[head]] + offset[head]
-            yield {"shard": shards[piece[head]], "start": at, "end": at + offset[last] - offset[head] + length}
+        shards, starts = np.array(rows["shard"]), np.array(rows["start"])
+        segment, offset = _repeats(rows["segment"], shards, starts, [_pairs(x) for x in rows["known"]], length)
+        if len(segment):
+            order = np.lexsort((offset, segment))
+            segment, offset = segment[order], offset[order]
+            new = np.ones(len(segment), bool)
+            new[1:] = (segment[1:] != segment[:-1]) | (offset[1:] != offset[:-1] + 1)
+            head, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:] - 1, len(segment) - 1)
+            at = starts[segment[head]] + offset[head]
+            yield {"shard": shards[segment[head]], "start": at, "end": at + offset[last] - offset[head] + length}
 
     return make
 
 
+_WINDOWS = "w1 long, w2 long, shard long, start long, sure boolean"
+
+
 def _window_hashes(length: int):
-    """Two hashes of each window of the pieces; for contexts with too many pieces to be sorted together."""
-    fields = C.pa_schema("w1 long, w2 long, shard long, start long, full boolean")
+    """Two hashes of each window of the segments; for homes with too much text to be sorted together."""
+    fields = C.pa_schema(_WINDOWS)
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                text = np.frombuffer(row["piece"], np.uint8)
-                codes = C._byte_codes()[text]
-                views = np.lib.stride_tricks.sliding_window_view
-                one = (views(codes, length) * C.powers(length)[:length]).sum(1, dtype=np.uint64)
-                two = (views(C.mix(codes), length) * C.powers(length)[:length]).sum(1, dtype=np.uint64)
-                n = len(one)
-                yield C.record_batch({"w1": C.mix(one).view(np.int64), "w2": C.mix(two).view(np.int64), "shard": np.full(n, row["shard"]), "start": row["start"] + np.arange(n), "full": np.full(n, row["full"])}, fields)
+                codes, n = C._byte_codes()[np.frombuffer(row["segment"], np.uint8)], len(row["segment"])
+                weight, inverse = C.powers(n + 1), C.inverse_powers(n + 1)
+                hashes = []
+                for values in (codes, C.mix(codes)):
+                    total = np.concatenate([[np.uint64(0)], np.cumsum(values * weight[:n])])
+                    hashes.append(C.mix((total[length:] - total[:-length]) * inverse[: n - length + 1]))
+                at, known = np.arange(n - length + 1), _pairs(row["known"])
+                sure = C.covered(n, known[:, 0], np.maximum(known[:, 1] - length + 1, known[:, 0]))[: len(at)]
+                yield C.record_batch({"w1": hashes[0].view(np.int64), "w2": hashes[1].view(np.int64), "shard": np.full(len(at), row["shard"]), "start": row["start"] + at, "sure": sure}, fields)
 
     return run
 
@@ -310,7 +361,8 @@ def without_repeats(docs: DataFrame, length: int = 400, texts: bool = False) ->
     entry_schema = "shard long, " + ", ".join(f"{name} binary" for name in _ENTRY_TYPES)
     entries = C.staged(C.map_shards(shards.join(flags, "shard"), describe, entry_schema, "answers"))
 
-    ask_fields = C.pa_schema("part long, shard long, gram binary, piece binary, twice binary, keys binary")
+    ask_schema = "part long, shard long, gram binary, piece binary, twice binary, keys binary, doc binary"
+    ask_fields = C.pa_schema(ask_schema)
 
     def ask(batches):
         for batch in batches:
@@ -318,41 +370,46 @@ def without_repeats(docs: DataFrame, length: int = 400, texts: bool = False) ->
                 e = _read_entries(row)
                 keys = e.keys.reshape(-1, _CONTEXTS)
                 for p, at, _ in C.blobs_by_part(C.part_of(e.gram, parts), parts):
-                    yield C.record_batch({"part": [p], "shard": [row["shard"]], "gram": [e.gram[at].tobytes()], "piece": [e.piece[at].tobytes()], "twice": [e.twice[at].tobytes()], "keys": [keys[at].tobytes()]}, ask_fields)
+                    yield C.record_batch({"part": [p], "shard": [row["shard"]], "gram": [e.gram[at].tobytes()], "piece": [e.piece[at].tobytes()], "twice": [e.twice[at].tobytes()], "keys": [keys[at].tobytes()], "doc": [e.doc[at].tobytes()]}, ask_fields)
 
-    asked = entries.select("shard", *_ENTRY_TYPES).mapInArrow(ask, "part long, shard long, gram binary, piece binary, twice binary, keys binary")
-    answers = asked.groupBy("part").applyInArrow(_answer, "part long, shard long, said binary")
-    told = C.staged(entries.join(answers.groupBy("shard").agg(F.collect_list(F.struct("part", "said")).alias("answers")), "shard"))
+    asked = entries.select("shard", *_ENTRY_TYPES).mapInArrow(ask, ask_schema)
+    answers = asked.groupBy("part").applyInArrow(_answer, "part long, shard long, said binary, home binary")
+    told = C.staged(entries.join(answers.groupBy("shard").agg(F.collect_list(F.struct("part", "said", "home")).alias("answers")), "shard"))
     facts = told.select("shard", F.struct(*_ENTRY_TYPES, "answers").alias("facts"))
 
     def cut(shard, facts):
         e = _read_entries(facts)
-        said = _said(e, facts["answers"], parts)
+        said, home = _told(e, facts["answers"], parts)
         chosen = np.flatnonzero((said & FIRST > 0) & (said >= 4))
         if not len(chosen):
             return
         start, end = _pieces(shard, e.first[chosen], length)
-        raw, keys, out = shard.buffer.tobytes(), e.keys.reshape(-1, _CONTEXTS), []
-        for i, a, b in zip(chosen.tolist(), start.tolist(), end.tolist(), strict=True):
-            for j in range(_CONTEXTS):
-                if said[i] & (1 << (2 + j)):
-                    out.append((int(keys[i, j].view(np.int64)), shard.shard, a, bool(said[i] & SAME), raw[a:b]))
-        yield dict(zip(("context", "shard", "start", "full", "piece"), zip(*out, strict=True), strict=True))
-
-    pieces = C.staged(C.map_shards(shards.join(facts, "shard"), cut, "context long, shard long, start long, full boolean, piece binary", "facts"))
-    crowded = pieces.groupBy("context").agg(F.count("*").alias("n")).filter(F.col("n") > SORT_PIECES).select("context")
-    total = pieces.agg(F.sum(F.length("piece"))).first()[0] or 0
-    sorted_in = pieces.join(crowded, "context", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("context"), F.lit(max(1, total // SORT_BYTES))))
+        raw, out = shard.buffer.tobytes(), []
+        order = np.argsort(home[chosen], kind="stable")
+        homes, heads = np.unique(home[chosen][order], return_index=True)
+        for where, own in zip(homes.tolist(), np.split(order, heads[1:]), strict=True):
+            same = own[said[chosen[own]] & SAME > 0]
+            same = same[np.argsort(start[same], kind="stable")]
+            for a, b in zip(*(x.tolist() for x in C.merge_spans(start[own], end[own])), strict=True):
+                inside = same[np.searchsorted(start[same], a) : np.searchsorted(start[same], b)]
+                known = np.stack([start[inside] - a, end[inside] - a], 1).astype(np.int64)
+                out.append((where, shard.shard, a, raw[a:b], known.tobytes()))
+        yield dict(zip(("home", "shard", "start", "segment", "known"), zip(*out, strict=True), strict=True))
+
+    segments = C.staged(C.map_shards(shards.join(facts, "shard"), cut, "home long, shard long, start long, segment binary, known binary", "facts"))
+    crowded = segments.groupBy("home").agg(F.sum(F.length("segment")).alias("n")).filter(F.col("n") > SORT_LIMIT).select("home")
+    total = segments.agg(F.sum(F.length("segment"))).first()[0] or 0
+    sorted_in = segments.join(crowded, "home", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("home"), F.lit(max(1, total // SORT_BYTES))))
     spans = C.map_groups(sorted_in, ["bucket"], _sort_groups(length), "shard long, start long, end long")
-    counted = pieces.join(crowded, "context", "left_semi").mapInArrow(_window_hashes(length), "w1 long, w2 long, shard long, start long, full boolean")
+    counted = segments.join(crowded, "home", "left_semi").mapInArrow(_window_hashes(length), _WINDOWS)
     place = F.struct("shard", "start")
-    twice = counted.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("full").alias("f")).filter("f or a <> b")
-    more = counted.filter("not full").join(twice.select("w1", "w2"), ["w1", "w2"]).select("shard", "start", (F.col("start") + length).alias("end"))
+    twice = counted.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("sure").alias("s")).filter("s or a <> b")
+    more = counted.filter("not sure").join(twice.select("w1", "w2"), ["w1", "w2"]).select("shard", "start", (F.col("start") + length).alias("end"))
     spans = spans.unionByName(more).distinct().groupBy("shard").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def finish(shard, facts, spans):
         e = _read_entries(facts or dict.fromkeys(_ENTRY_TYPES))
-        said = _said(e, facts and facts["answers"], parts)
+        said, _ = _told(e, facts and facts["answers"], parts)
         start, end = _pieces(shard, e.at[said[e.entry] & SAME > 0], length)
         extra = np.array([(s["start"], s["end"]) for s in spans or ()], np.int64).reshape(-1, 2)
         start, end = C.merge_spans(np.append(start, extra[:, 0]), np.append(end, extra[:, 1]))

@@ -126,9 +126,9 @@ def test_two_stage_order_is_the_order_of_suffixes(depth):
         assert order == sorted(range(len(raw)), key=lambda i: raw[i:])
 
 
-@pytest.mark.parametrize(("length", "crowd"), [(400, 8192), (64, 8192), (64, 1)])
+@pytest.mark.parametrize(("length", "crowd"), [(400, 8 << 20), (75, 8 << 20), (64, 1)])
 def test_repeated_bytes_equal_all_strings(docs, rows, monkeypatch, length, crowd):
-    monkeypatch.setattr(suffix_dedup, "SORT_PIECES", crowd)
+    monkeypatch.setattr(suffix_dedup, "SORT_LIMIT", crowd)
     gone = cases.repeated_bytes([r[1] for r in rows], length)
     expected = Counter()
     for r, g in zip(rows, gone, strict=True):
