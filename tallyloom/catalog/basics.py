@@ -278,9 +278,7 @@ def sample_without_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH placed AS (
       SELECT event_id, user_id, event_type,
-             row_number() OVER (ORDER BY
-               (({SAMPLE_SEED}::BIGINT * 15485863) % 1000003 + (event_id % 1000003) * 7919) % 1000003 % 16384,
-               event_id) - 1 AS place
+             row_number() OVER (ORDER BY substr(md5('{SAMPLE_SEED}:' || event_id), 1, 15), event_id) - 1 AS place
       FROM events
     ), draws AS (
       SELECT draw, CAST('0x' || substr(md5('{SAMPLE_SEED}:' || draw), 1, 15) AS BIGINT)

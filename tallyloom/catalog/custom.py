@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.tables import table
 from tallyloom.operators.counting import grouped_lists
-from tallyloom.operators.custom import NumbersBelow, map_partitions, reduce_by_key, row_function
+from tallyloom.operators.custom import NumbersBelow, map_partitions, map_partitions_with_index, reduce_by_key, row_function
 
 
 @query("udf_row_function", "SELECT p_partkey, p_name || 's' AS plural FROM part")
@@ -36,7 +36,7 @@ def udtf_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_partitions_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count_locally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts = batch["event_type"].value_counts()
+            counts = batch["event_type"].value_counts(dropna=False)
             yield pd.DataFrame({"event_type": counts.index, "n": counts.to_numpy()})
 
     partial = map_partitions(
@@ -64,3 +64,20 @@ def bucket_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 4).alias("bucket"), F.col("o_orderkey").alias("v"))
     lists = grouped_lists(keyed, "bucket", "v", LIST_SIZE)
     return lists.select("bucket", "list_no", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
+@query(
+    "partition_numbers",
+    "SELECT o_custkey AS k, count(*) AS n, 1 AS partitions FROM orders GROUP BY 1",
+)
+def partition_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per key counted by numbered partitions: all rows of a key are in one of them."""
+
+    def count(number: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = batch["k"].value_counts(dropna=False)
+            yield pd.DataFrame({"k": counts.index, "n": counts.to_numpy(), "number": number})
+
+    keyed = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")).repartition(7, "k")
+    counted = map_partitions_with_index(keyed, count, "k bigint, n bigint, number int")
+    return counted.groupBy("k").agg(F.sum("n").alias("n"), F.count_distinct("number").cast("int").alias("partitions"))

@@ -16,18 +16,17 @@ from tallyloom.catalog.tables import (
     table,
 )
 from tallyloom.catalog.texts import CORPUS
-from tallyloom.operators.matching import without
 from tallyloom.plans import similarity
 from tallyloom.plans.weights import document_weights, inverse_document_frequency, norms
 from tallyloom.session import stage_table
 from tallyloom.sources.quality import record_quality
 from tallyloom.sources.records import parse_gold, parse_products
 
-MIN_SIMILARITY = 0.1
+MIN_SIMILARITY, MIN_OTHERS = 0.1, 0.02
 
 GOLD = """
     SELECT 'd' || doc_id AS a_id, 'b' || item_id AS b_id
-    FROM documents d, benchmark b WHERE instr(d.text, b.text) > 0
+    FROM documents d, benchmark b WHERE instr(d.text, b.text) > 0 AND b.text <> ''
 """
 SCORED = (
     CORPUS
@@ -44,17 +43,21 @@ SCORED = (
     ), gold AS ({GOLD})
     """
 )
-SIMILAR = (
-    SCORED
-    + f"""
-    , texts AS (
-      SELECT side, min(id) AS id, count(*) AS copies FROM corpus GROUP BY side, text
-    ), similar_pairs AS (
-      SELECT a_id, b_id, similarity, a.copies AS a_copies, b.copies AS b_copies
-      FROM scores JOIN texts a ON a.id = a_id JOIN texts b ON b.id = b_id WHERE similarity >= {MIN_SIMILARITY}
+#: Every document with the copy that stands for its text: the one with the smallest number.
+COPIES = """
+    SELECT side, id, arg_min(id, number) OVER (PARTITION BY side, text) AS first_id, count(*) OVER (PARTITION BY side, text) AS copies
+    FROM (SELECT *, CAST(id[2:] AS BIGINT) AS number FROM corpus)
+"""
+
+
+def _similar_sql(least: float) -> str:
+    """All pairs of documents above a bound, each named by its representatives as well."""
+    return SCORED + f"""
+    , copies AS ({COPIES}), similar_pairs AS (
+      SELECT a_id, b_id, similarity, a.first_id AS a_first, b.first_id AS b_first
+      FROM scores JOIN copies a ON a.id = a_id JOIN copies b ON b.id = b_id WHERE similarity >= {least}
     )
     """
-)
 
 
 def _idf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +122,8 @@ def doc_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dot_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, idf = gold_pairs(spark, sf_dir), _idf(spark, sf_dir)
     a_docs, b_docs = _sources(spark, sf_dir)
-    a_weights = document_weights(similarity.only_in_pairs(a_docs, pairs, "a"), idf)
-    b_weights = document_weights(similarity.only_in_pairs(b_docs, pairs, "b"), idf)
+    a_weights = stage_table(document_weights(similarity.only_in_pairs(a_docs, pairs, "a"), idf))
+    b_weights = stage_table(document_weights(similarity.only_in_pairs(b_docs, pairs, "b"), idf))
     return similarity.dot_products(pairs, a_weights, b_weights).withColumn("dot", F.round("dot", 6))
 
 
@@ -191,30 +194,44 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.withColumn("weight", F.round("weight", 6))
 
 
-def _similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _similar(spark: SparkSession, sf_dir: str, least: float) -> DataFrame:
     a_docs, b_docs = _sources(spark, sf_dir)
-    return similarity.similar_pairs(a_docs, b_docs, _idf(spark, sf_dir), MIN_SIMILARITY)
+    return similarity.similar_pairs(a_docs, b_docs, _idf(spark, sf_dir), least)
+
+
+@query("text_copies", CORPUS + f"SELECT side AS source, id, first_id, copies FROM ({COPIES})")
+def text_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and the copy that stands for it in the lists of pairs."""
+    found = [similarity.representatives(docs).withColumn("source", F.lit(side)) for side, docs in zip("ab", _sources(spark, sf_dir))]
+    return found[0].unionByName(found[1]).select("source", "id", "first_id", "copies")
 
 
 @query(
     "er_inverted_index",
-    SIMILAR + "SELECT a_id, b_id, round(similarity, 6) AS similarity, a_copies, b_copies FROM similar_pairs",
+    _similar_sql(MIN_SIMILARITY)
+    + """
+    SELECT a_first AS a_id, b_first AS b_id, round(min(similarity), 6) AS similarity,
+           count(DISTINCT a_id) AS a_copies, count(DISTINCT b_id) AS b_copies
+    FROM similar_pairs GROUP BY 1, 2
+    """,
 )
 def er_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _similar(spark, sf_dir).withColumn("similarity", F.round("similarity", 6))
+    return _similar(spark, sf_dir, MIN_SIMILARITY).withColumn("similarity", F.round("similarity", 6))
 
 
 @query(
     "non_duplicates",
-    SIMILAR
+    _similar_sql(MIN_OTHERS)
     + """
-    SELECT a_id, b_id, round(similarity, 6) AS similarity FROM similar_pairs s
-    WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE g.a_id = s.a_id AND g.b_id = s.b_id)
+    SELECT a_first AS a_id, b_first AS b_id, round(min(similarity), 6) AS similarity, count(*) AS pairs
+    FROM similar_pairs s WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE g.a_id = s.a_id AND g.b_id = s.b_id)
+    GROUP BY 1, 2
     """,
 )
 def non_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    others = without(_similar(spark, sf_dir), gold_pairs(spark, sf_dir), "a_id", "b_id")
-    return others.select("a_id", "b_id", F.round("similarity", 6).alias("similarity"))
+    similar, gold = _similar(spark, sf_dir, MIN_OTHERS), gold_pairs(spark, sf_dir)
+    others = similarity.other_pairs(similar, gold, *_sources(spark, sf_dir))
+    return others.withColumn("similarity", F.round("similarity", 6))
 
 
 @query(

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query
-from tallyloom.catalog.tables import items, rating_lines, ratings
+from tallyloom.catalog.tables import item_lines, items, rating_lines, ratings
 from tallyloom.operators.counting import count_by
 from tallyloom.operators.ranking import top_by
 from tallyloom.operators.sampling import split_rows, with_split
 from tallyloom.plans import factors
 from tallyloom.plans import ratings as rated
 from tallyloom.session import stage_table
-from tallyloom.sources.ratings import parse_ratings
+from tallyloom.sources.ratings import parse_items, parse_ratings
 
 # Shares of training, validation and test.
 SPLIT_WEIGHTS, SPLIT_SEED = (6, 2, 2), 0
@@ -31,7 +32,7 @@ RATINGS = """
     ), stats AS (
       SELECT item_id, count(*) AS n_ratings, avg(rating) AS mean_rating FROM ratings GROUP BY 1
     ), marked AS (
-      SELECT *, ((user_id % 1000003) * 7919 + (item_id % 1000003) * 104729) % 1000003 % 10 AS bucket FROM ratings
+      SELECT *, ('0x' || left(md5('0:' || user_id || ',' || item_id), 15))::BIGINT % 10 AS bucket FROM ratings
     ), train AS (SELECT * FROM marked WHERE bucket < 6), test AS (SELECT * FROM marked WHERE bucket >= 8)
 """
 
@@ -47,7 +48,7 @@ def _parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     RATINGS
     + """
     SELECT CASE WHEN (user_id + item_id) % 101 = 0 THEN 0 ELSE 1 END AS parse_status,
-           CAST(user_id AS INTEGER) AS user_id, CAST(item_id AS INTEGER) AS item_id,
+           user_id, item_id,
            CASE WHEN (user_id + item_id) % 101 <> 0 THEN rating END AS rating
     FROM ratings
     """,
@@ -161,30 +162,93 @@ def top_unrated_by_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.withColumn("prediction", F.round("prediction", 6))
 
 
-@query("als_model_factors")
+# The factors themselves differ between engines, so the queries below say what a true model must satisfy, and SQL
+# says for which rows. The functions of plans.factors return the values.
+_CLOSE, _SOLVED = 1e-4, 1e-5
+KNOWN = RATINGS + """
+    , users AS (SELECT DISTINCT user_id FROM train), rated AS (SELECT DISTINCT item_id FROM train),
+    validation AS (SELECT * FROM marked WHERE bucket >= 6 AND bucket < 8),
+    own AS (SELECT item_id FROM (SELECT item_id, count(*) AS n FROM train GROUP BY 1 ORDER BY n DESC, item_id LIMIT {limit}))
+""".replace("{limit}", str(NEW_RATINGS))
+
+
+def _same(left: Column, right: Column) -> Column:
+    return F.abs(left - right) <= _CLOSE
+
+
+def _error_from_factors(model: ALSModel, actual: DataFrame) -> Column:
+    """Root mean squared error over the dot products of the factors, as a value."""
+    error = F.col("product") - F.col("rating")
+    return factors.products(model, actual).agg(F.sqrt(F.avg(error * error))).scalar()
+
+
+@query(
+    "als_model_factors",
+    KNOWN
+    + f"""
+    SELECT 'user' AS side, user_id AS id, {factors.RANKS[1]} AS n_factors, TRUE AS solved FROM users
+    UNION ALL SELECT 'item', item_id, {factors.RANKS[1]}, NULL FROM rated
+    """,
+)
 def als_model_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All users and items with their number of factors, and whether a user's factors solve that user's equation."""
     train, _, _ = _parts(spark, sf_dir)
-    return factors.factor_table(factors.train(train, factors.RANKS[1]))
+    model = factors.train(train, factors.RANKS[1])
+    residuals = factors.user_residuals(model, train).select(F.lit("user").alias("side"), F.col("user_id").alias("id"), "residual")
+    table = factors.factor_table(model).select("side", F.col("id").cast("long").alias("id"), F.size("features").alias("n_factors"))
+    return table.join(residuals, ["side", "id"], "left").select("side", "id", "n_factors", (F.col("residual") < _SOLVED).alias("solved"))
 
 
-@query("als_predictions")
+@query(
+    "als_predictions",
+    KNOWN
+    + """
+    SELECT user_id, item_id, TRUE AS is_product FROM validation
+    WHERE user_id IN (SELECT user_id FROM users) AND item_id IN (SELECT item_id FROM rated)
+    """,
+)
 def als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs that get a prediction, and whether it is the dot product of their factors."""
     train, validation, _ = _parts(spark, sf_dir)
-    return factors.predict(factors.train(train, factors.RANKS[1]), validation)
+    model = factors.train(train, factors.RANKS[1])
+    products = factors.products(model, validation.select("user_id", "item_id"))
+    found = factors.predict(model, validation).join(products, ["user_id", "item_id"], "left")
+    return found.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id"), F.coalesce(_same(F.col("prediction"), F.col("product")), F.lit(False)).alias("is_product"))
 
 
-@query("als_model_selection")
+@query(
+    "als_model_selection",
+    KNOWN
+    + f"""
+    SELECT unnest({list(factors.RANKS)}) AS rank, n, TRUE AS first_smallest FROM (
+      SELECT count(*) AS n FROM validation
+      WHERE user_id IN (SELECT user_id FROM users) AND item_id IN (SELECT item_id FROM rated)
+    )
+    """,
+)
 def als_model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranks tried, the pairs scored, and whether ``best`` marks the first smallest error."""
     train, validation, _ = _parts(spark, sf_dir)
-    return factors.select_rank(train, validation).errors
+    chosen = factors.select_rank(train, validation)
+    scored = rated.rmse(factors.predict(chosen.model, validation), validation).select("n").scalar()
+    least = chosen.errors.agg(F.min(F.struct("rmse", "rank")).alias("m")).select("m.rank").scalar()
+    return chosen.errors.select("rank", scored.alias("n"), (F.col("best") == (F.col("rank") == least)).alias("first_smallest"))
 
 
-@query("als_test_rmse")
+@query(
+    "als_test_rmse",
+    KNOWN
+    + """
+    SELECT count(*) AS n, TRUE AS rmse_is_right FROM test
+    WHERE user_id IN (SELECT user_id FROM users) AND item_id IN (SELECT item_id FROM rated)
+    """,
+)
 def als_test_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs scored by the chosen model, and whether their error is that of its factors."""
     train, validation, test = _parts(spark, sf_dir)
     chosen = factors.select_rank(train, validation)
     error = rated.rmse(factors.predict(chosen.model, test), test)
-    return error.select(F.lit(chosen.rank).alias("rank"), "n", "rmse")
+    return error.select("n", _same(F.col("rmse"), _error_from_factors(chosen.model, test)).alias("rmse_is_right"))
 
 
 def _new_user_ratings(given: DataFrame) -> DataFrame:
@@ -195,18 +259,58 @@ def _new_user_ratings(given: DataFrame) -> DataFrame:
     )
 
 
-@query("retrain_with_user")
+@query(
+    "retrain_with_user",
+    KNOWN
+    + """
+    SELECT count(*) AS n, (SELECT count(*) FROM own) AS added, TRUE AS rmse_is_right FROM test
+    WHERE user_id IN (SELECT user_id FROM users) AND item_id IN (SELECT item_id FROM rated)
+    """,
+)
 def retrain_with_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``als_test_rmse`` for a model that has also seen a new user's ratings."""
     train, _, test = _parts(spark, sf_dir)
-    own = _new_user_ratings(train)
+    own = stage_table(_new_user_ratings(train))
     model = factors.train(train.unionByName(own), factors.RANKS[1])
-    return rated.rmse(factors.predict(model, test), test).withColumn("added", own.agg(F.count("*")).scalar())
+    error = rated.rmse(factors.predict(model, test), test).withColumn("added", own.agg(F.count("*")).scalar())
+    return error.select("n", "added", _same(F.col("rmse"), _error_from_factors(model, test)).alias("rmse_is_right"))
 
 
-@query("top_unrated")
+@query(
+    "top_unrated",
+    KNOWN
+    + f"""
+    , candidates AS (
+      SELECT item_id FROM train WHERE item_id NOT IN (SELECT item_id FROM own) AND item_id IN (SELECT item_id FROM items)
+      GROUP BY 1 HAVING count(*) > {ENOUGH // 2}
+    )
+    SELECT count(*) AS candidates, least(count(*), 20) AS listed, TRUE AS is_head FROM candidates
+    """,
+)
 def top_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that could be recommended to the new user, and whether the listed ones are the best by their factors."""
     train, _, _ = _parts(spark, sf_dir)
-    own, titles = _new_user_ratings(train), items(spark, sf_dir)
+    own, titles = stage_table(_new_user_ratings(train)), items(spark, sf_dir)
     model = factors.train(train.unionByName(own), factors.RANKS[1])
-    predicted = factors.predict(model, rated.unrated_items(titles, own, NEW_USER))
-    return rated.recommend(predicted, train, titles, 20, ENOUGH // 2)
+    unrated = stage_table(rated.unrated_items(titles, own, NEW_USER).withColumn("user_id", F.col("user_id").cast("long")))
+    top = stage_table(rated.recommend(factors.predict(model, unrated), train, titles, 20, ENOUGH // 2))
+    counts = rated.item_stats(train).select("item_id", "n_ratings").filter(F.col("n_ratings") > ENOUGH // 2)
+    scored = factors.products(model, unrated).join(counts, "item_id").join(top.select("item_id", "prediction"), "item_id", "left")
+    least_listed = F.min(F.when(F.col("prediction").isNotNull(), F.col("product")))
+    best_other = F.max(F.when(F.col("prediction").isNull(), F.col("product")))
+    wrong = F.count_if(~_same(F.col("prediction"), F.col("product")))
+    return scored.agg(
+        F.count("*").alias("candidates"), F.count("prediction").alias("listed"),
+        ((wrong == 0) & F.coalesce(least_listed >= best_other - _CLOSE, F.lit(True))).alias("is_head"),
+    )
+
+
+@query(
+    "items_parse",
+    """
+    SELECT CASE WHEN p_partkey % 97 = 5 THEN 0 ELSE 1 END AS parse_status, p_partkey AS item_id,
+           CASE WHEN p_partkey % 97 <> 5 THEN p_name END AS title FROM part
+    """,
+)
+def items_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_items(item_lines(spark, sf_dir)).drop("line")

@@ -7,33 +7,31 @@ columns instead.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import word_tokens
 from tallyloom.operators.unfolding import unfold
 from tallyloom.session import stage_table
-from tallyloom.sources.text import lines_of, spread
+from tallyloom.sources.text import lines_of
 
-_GRAM = 6
+#: Tokens of a run, and characters of a short passage, that documents are looked up by.
+_GRAM, _CHARACTERS = 6, 8
 
 
-@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its files are listed and its schema read once per session."""
+    """A given table, with the files that are there now."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id``, ``line_no``, ``line`` for every line of every document."""
-    return lines_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return lines_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log line per event; some with a broken zone, some with a blank before the closing quote."""
-    event = spread(table(spark, sf_dir, "events"))
+    event = table(spark, sf_dir, "events")
     zone = F.when(F.col("event_id") % 97 == 0, " 0000").otherwise(" +0000")
     blank = F.when(F.col("event_id") % 89 == 0, " ").otherwise("")
     kind = F.col("event_type")
@@ -88,13 +86,20 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``item::title::genres`` lines of the parts, some without a title."""
+    part = table(spark, sf_dir, "part")
+    broken, key = F.col("p_partkey") % 97 == 5, F.col("p_partkey").cast("string")
+    return part.select(F.when(broken, key).otherwise(F.concat_ws("::", key, "p_name", "p_type")).alias("line"))
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
 
 
 def first_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as ``id``, ``text``."""
-    return spread(table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text"))
+    return table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
 
 
 def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,30 +112,47 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``a_id``, ``b_id`` where the document contains the passage word for word.
+    """``a_id``, ``b_id`` where the document contains the passage word for word; see :func:`containing`.
 
-    A document that contains a passage has the same run of tokens as the passage
-    has after its first token (which may be cut in the document), so documents
-    are looked up by one run per passage and only those are compared as text.
-    Passages have many more tokens than a run. The pairs stand for a file of
-    known matches, so they are staged as one.
+    The pairs stand for a file of known matches, so they are staged as one.
     """
-    docs, passages = first_source(spark, sf_dir), second_source(spark, sf_dir)
-    tokens = F.col("_tokens")
+    return stage_table(containing(first_source(spark, sf_dir), second_source(spark, sf_dir)))
 
-    def run_from(start: Column) -> Column:
-        return F.xxhash64(F.slice(tokens, start, _GRAM))
 
-    wanted = (
-        passages.withColumn("_tokens", word_tokens(F.col("text")))
-        .filter(F.size(tokens) >= _GRAM + 2)
-        .select(F.col("id").alias("b_id"), run_from(F.lit(2)).alias("_run"))
-    )
-    tokenised = docs.withColumn("_tokens", word_tokens(F.col("text")))
-    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (_GRAM - 1), F.lit(1)))
-    runs = unfold(tokenised, F.transform(starts, run_from), "_run", F.col("id").alias("a_id"))
-    found = runs.join(wanted, "_run").select("a_id", "b_id").distinct()
-    return stage_table(
+def containing(docs: DataFrame, passages: DataFrame) -> DataFrame:
+    """``a_id``, ``b_id`` of the documents whose text contains the text of a passage; an empty passage is in none.
+
+    A document that contains a passage has the same run of tokens as the passage
+    has between its first and last token, which may be cut in the document.
+    Passages with at most two tokens have no such run; they are looked up by
+    their first characters. Only run lengths that occur among the passages are
+    taken from the documents, and only documents found are compared as text.
+    """
+    tokens = F.col("_tokens")
+    short = -F.least(F.length("text"), F.lit(_CHARACTERS))
+    passages = passages.filter("text <> ''").withColumn("_tokens", word_tokens(F.col("text")))
+    # Tokens in the run, or less than 0: characters.
+    sized = passages.withColumn("_size", F.when(F.size(tokens) > 2, F.least(F.size(tokens) - 2, F.lit(_GRAM))).otherwise(short))
+    run = F.when(F.col("_size") > 0, F.xxhash64(F.slice(tokens, 2, F.greatest("_size", F.lit(0))))).otherwise(F.xxhash64(F.substring("text", F.lit(1), -F.col("_size"))))
+    wanted = sized.select(F.col("id").alias("b_id"), "_size", run.alias("_run"))
+    sizes = sorted(r[0] for r in wanted.select("_size").distinct().collect())  # at most _GRAM + _CHARACTERS numbers
+
+    def runs(size: int) -> Column:
+        if size > 0:
+            starts = F.sequence(F.lit(1), F.size(tokens) - (size - 1))
+            found = F.when(F.size(tokens) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, size))))
+        else:
+            starts = F.sequence(F.lit(1), F.length("text") + size + 1)
+            found = F.when(F.length("text") >= -size, F.transform(starts, lambda i: F.xxhash64(F.substring("text", i, F.lit(-size)))))
+        return F.transform(F.array_distinct(F.coalesce(found, F.array())), lambda r: F.struct(F.lit(size).alias("size"), r.alias("run")))
+
+    if not sizes:
+        return wanted.select(F.lit("").alias("a_id"), "b_id").limit(0)
+    tokenised = docs.filter(F.col("text").isNotNull()).withColumn("_tokens", word_tokens(F.col("text")))
+    every = F.concat(*[runs(size) for size in sizes])
+    rows = unfold(tokenised, every, "_found", F.col("id").alias("a_id"))
+    found = rows.select("a_id", F.col("_found.size").alias("_size"), F.col("_found.run").alias("_run")).join(wanted, ["_size", "_run"]).select("a_id", "b_id").distinct()
+    return (
         found.join(docs.select(F.col("id").alias("a_id"), F.col("text").alias("_a")), "a_id")
         .join(passages.select(F.col("id").alias("b_id"), F.col("text").alias("_b")), "b_id")
         .filter(F.contains(F.col("_a"), F.col("_b")))

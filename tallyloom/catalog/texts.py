@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,12 @@ from tallyloom.catalog.basics import LINES
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.tables import corpus, first_source, second_source, text_lines
 from tallyloom.functions.text import STOPWORDS, content_tokens, normalize_text, word_tokens
-from tallyloom.operators.counting import count_rows, distinct_count, histogram
+from tallyloom.operators.counting import count_by, count_rows, distinct_count, histogram
 from tallyloom.operators.ranking import smallest
+from tallyloom.operators.unfolding import unfold
 from tallyloom.plans import weights, words
+from tallyloom.session import checkpoint_folder
+from tallyloom.sources.text import read_lines, read_words
 
 NORMALIZED = r"trim(lower(regexp_replace(line, '[^A-Za-z0-9 ]', '', 'g')))"
 WORDS = f"WITH words AS (SELECT unnest(string_split({NORMALIZED}, ' ')) AS word FROM ({LINES})) "
@@ -192,3 +197,33 @@ def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus(spark, sf_dir)
     weighted = weights.document_weights(docs, weights.inverse_document_frequency(docs))
     return weighted.select("id", "token", F.round("weight", 6).alias("weight"))
+
+
+def _as_file(df: DataFrame, name: str, **options: str) -> str:
+    """Write one text column to the shared folder and return the path."""
+    path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.text(path, **options)
+    return path
+
+
+@query("file_line_count", f"SELECT line, count(*) AS n FROM ({LINES}) WHERE NOT contains(line, chr(13)) GROUP BY 1")
+def file_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the documents, written as gzip text files and read back."""
+    lines = text_lines(spark, sf_dir).select("line").filter(~F.contains("line", F.lit("\r")))
+    return count_by(read_lines(spark, _as_file(lines, "lines", compression="gzip"), 8), "line")
+
+
+@query(
+    "tokens_not_in_word_file",
+    CORPUS
+    + """
+    , listed AS (SELECT DISTINCT token AS word FROM tokens WHERE side = 'b')
+    SELECT token, count(*) AS n FROM tokens WHERE side = 'a' AND token NOT IN (SELECT word FROM listed) GROUP BY 1
+    """,
+)
+def tokens_not_in_word_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of the documents that are not in a word file; the file holds the tokens of the passages."""
+    listed = unfold(weights.tokenized(second_source(spark, sf_dir)), F.col("tokens"), "token")
+    words_read = read_words(spark, _as_file(listed, "words"))
+    tokens = unfold(weights.tokenized(first_source(spark, sf_dir)), F.col("tokens"), "token")
+    return count_by(weights.without_words(tokens, words_read), "token")

@@ -5,25 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HASH_PRIME = 1_000_003
-KEY_FACTORS = (7_919, 104_729, 1_299_709, 32_452_843)
-SEED_FACTOR = 15_485_863
-
-
-def hash_bucket(keys: list[Column], seed: int, buckets: int) -> Column:
-    """Bucket number from integer keys by plain arithmetic.
-
-    It depends on nothing but the keys and the seed, so repeated runs, retried
-    tasks and other engines agree. Keys are reduced first and cannot overflow.
-    """
-    if len(keys) > len(KEY_FACTORS):
-        raise ValueError(f"at most {len(KEY_FACTORS)} keys")
-    mixed = F.lit((seed * SEED_FACTOR) % HASH_PRIME).cast("long")
-    for key, factor in zip(keys, KEY_FACTORS):
-        mixed = mixed + F.pmod(key.cast("long"), F.lit(HASH_PRIME)) * F.lit(factor)
-    return (F.pmod(F.pmod(mixed, F.lit(HASH_PRIME)), F.lit(buckets))).cast("int")
-
-
 def hash_text(key: Column, seed: int) -> Column:
     """128-bit hash of a key as text, for orders that must look random."""
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
@@ -34,6 +15,16 @@ def hash_long(key: Column, seed: int) -> Column:
     return F.conv(F.substring(hash_text(key, seed), 1, 15), 16, 10).cast("long")
 
 
+def hash_bucket(keys: list[Column], seed: int, buckets: int) -> Column:
+    """Bucket number from keys of any type, null included.
+
+    It depends on nothing but the keys and the seed, so repeated runs, retried
+    tasks and other engines agree, and buckets of different seeds are independent.
+    """
+    joined = F.concat_ws(",", *[F.coalesce(key.cast("string"), F.lit("null")) for key in keys])
+    return F.pmod(hash_long(joined, seed), F.lit(buckets)).cast("int")
+
+
 def int_quotient(total: Column, count: Column) -> Column:
     """Integer quotient of non-negative integers, exact for any size; NULL for a zero count."""
     return F.call_function("div", total, F.nullif(count, F.lit(0)))

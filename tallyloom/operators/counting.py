@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import int_quotient
@@ -70,13 +70,17 @@ def grouped_lists(df: DataFrame, key: str, value: str, size: int = 1000) -> Data
 
     A key may hold a large part of all rows, so its values are never gathered in
     one place: rows get their place in the global order first, and each list is
-    built by whichever task owns that (key, list) pair.
+    built by whichever task owns that (key, list) pair. The first place of a key is
+    joined by key and part of the order, so a key in many parts is in many tasks.
     """
-    placed = with_global_index(df.select(key, value), key, value, name="_place")
-    starts = placed.groupBy(key).agg(F.min("_place").alias("_start"))
+    placed = with_global_index(df.select(key, value), key, value, name="_place", part="_part")
+    # One row per key and part; the parts of a key are counted, not its rows.
+    starts = placed.groupBy(key, "_part").agg(F.min("_place").alias("_from")).select(
+        F.col(key).alias("_key"), F.col("_part").alias("_in"), F.min("_from").over(Window.partitionBy(key)).alias("_start")
+    )
     place = F.col("_place") - F.col("_start")
     return (
-        placed.join(starts, key)
+        placed.join(starts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_in")))
         .select(key, F.call_function("div", place, F.lit(size)).alias("list_no"), "_place", value)
         .groupBy(key, "list_no")
         .agg(F.sort_array(F.collect_list(F.struct("_place", value))).alias("_items"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _KEYS_HELD = 100_000
+_NAN = float("nan")  # one object, so that it equals itself as a key
 
 
 def row_function(func: Callable[[Any], Any], returns: str) -> Callable[[Column], Column]:
@@ -30,7 +31,8 @@ def reduce_by_key(df: DataFrame, key: str, value: str, func: Callable[[Any, Any]
 
     Every task first combines its own rows, so that a key leaves a task as a few
     partial values however many rows it has; the partial values are then sorted
-    by key and combined as they stream by. No group is held in memory.
+    by key and combined as they stream by. No group is held in memory. Floating
+    keys are grouped as in ``GROUP BY``: all NaN are one key, and so are 0.0 and -0.0.
     """
 
     def table(schema: pa.Schema, keys: list, values: list) -> pa.RecordBatch:
@@ -44,6 +46,7 @@ def reduce_by_key(df: DataFrame, key: str, value: str, func: Callable[[Any, Any]
         for batch in batches:
             schema = batch.schema
             for group, item in _pairs(batch):
+                group = _NAN if group != group else group
                 held[group] = func(held[group], item) if group in held else item
             if len(held) >= _KEYS_HELD:
                 yield table(schema, list(held), list(held.values()))
@@ -58,7 +61,8 @@ def reduce_by_key(df: DataFrame, key: str, value: str, func: Callable[[Any, Any]
         for batch in batches:
             schema = batch.schema
             for group, item in _pairs(batch):
-                if keys and keys[-1] == group:
+                group = _NAN if group != group else group
+                if keys and (keys[-1] is group or keys[-1] == group):
                     values[-1] = func(values[-1], item)
                 else:
                     keys.append(group)
@@ -71,6 +75,9 @@ def reduce_by_key(df: DataFrame, key: str, value: str, func: Callable[[Any, Any]
             yield table(schema, keys, values)
 
     kept = df.select(key, value)
+    if kept.schema[key].dataType.typeName() in ("float", "double"):
+        whole = F.when(F.isnan(key), F.lit(float("nan"))).when(F.col(key) == 0, F.lit(0.0)).otherwise(F.col(key))
+        kept = kept.withColumn(key, whole.cast(kept.schema[key].dataType))
     return (
         kept.mapInArrow(combine_locally, kept.schema)
         .repartition(F.col(key))
@@ -101,9 +108,9 @@ def map_partitions_with_index(
     return df.mapInPandas(run, schema)
 
 
-@F.udtf(returnType="y bigint")
+@F.udtf(returnType="y bigint", useArrow=True)
 class NumbersBelow:
-    """Table function: 1, 2, ... up to but not including the argument."""
+    """Table function, exchanged in Arrow batches: 1, 2, ... up to but not including the argument."""
 
     def eval(self, end: int) -> Iterator[tuple[int]]:
         for number in range(1, end or 0):

@@ -10,8 +10,12 @@ from tallyloom.session import stage_table
 _ROW_BITS = 33
 
 
-def with_global_index(df: DataFrame, *order: str | Column, name: str = "index") -> DataFrame:
-    """Number all rows 0, 1, 2, ... in the given order.
+#: Offsets are broadcast for at most so many tasks, one short row each.
+_OFFSETS = 200_000
+
+
+def with_global_index(df: DataFrame, *order: str | Column, name: str = "index", part: str | None = None) -> DataFrame:
+    """Number all rows 0, 1, 2, ... in the given order; ``part`` names a column for the task that numbered a row.
 
     The rows are range-partitioned and sorted, and each task numbers its own.
     Equal keys are told apart by a tie-breaker, so that one value held by many
@@ -37,6 +41,8 @@ def with_global_index(df: DataFrame, *order: str | Column, name: str = "index")
         .agg(F.count("*").alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    return numbered.join(offsets, "_part").select(
-        *df.columns, (F.col("_offset") + F.col("_row")).alias(name)
-    )
+    # One row per task: sent to the numbered rows, which then stay where they are.
+    if offsets.count() <= _OFFSETS:
+        offsets = F.broadcast(offsets)
+    kept = [F.col("_part").alias(part)] if part else []
+    return numbered.join(offsets, "_part").select(*df.columns, *kept, (F.col("_offset") + F.col("_row")).alias(name))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import hash_bucket, hash_long, hash_text
@@ -18,43 +18,62 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(hash_text(F.col(key), seed), F.col(key)).limit(n)
 
 
-def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int, buckets: int = 16384) -> DataFrame:
+#: Bits of a key's hash that choose its coarse bucket, and rows wanted in a fine one.
+_HASH_BITS, _COARSE_BITS, _FINE_ROWS = 60, 12, 1000
+
+
+def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """``n`` independent draws of a row; the same row may be drawn again.
 
-    Rows are spread over buckets by key hash. A draw is a place in the order
-    (bucket, key). One pass counts the buckets, a second one ranks the rows of
-    only the drawn buckets, so the table is neither sorted nor shuffled as a
-    whole. ``key`` must identify a row.
+    A draw is a place in the order (key hash, key). Buckets are ranges of the hash,
+    in two levels: a fixed number of coarse ones, each cut into so many fine ones
+    that a fine bucket has about ``_FINE_ROWS`` rows whatever the size of the table.
+    A draw finds its coarse bucket, and in it its fine one, by an equality join on
+    steps of equal width; only the rows of drawn fine buckets are moved and ranked.
+    ``key`` must identify a row.
     """
-    bucket = hash_bucket([F.col(key)], seed, buckets)
-    keyed = df.withColumn("_bucket", bucket)
-    upto = Window.orderBy("_bucket")
-    ranges = (
-        keyed.groupBy("_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select("_bucket", (F.sum("_n").over(upto)).alias("_end"), "_n")
-        .select(F.struct("_end", (F.col("_end") - F.col("_n")).alias("_start"), "_bucket").alias("_range"))
-        .agg(F.sort_array(F.collect_list("_range")).alias("_ranges"))
+    total = df.count()
+    if not total or not n:
+        return df.sparkSession.range(0).select(F.col("id").alias("draw")).join(df.limit(0), F.lit(True)).select("draw", *df.columns)
+    fine_bits = max(0, (total // (_FINE_ROWS << _COARSE_BITS)).bit_length())
+    shift = _HASH_BITS - _COARSE_BITS
+    hashed = df.withColumn("_hash", hash_long(F.col(key), seed))
+    keyed = hashed.withColumn("_coarse", F.shiftright("_hash", shift)).withColumn(
+        "_fine", F.shiftright(F.col("_hash").bitwiseAND((1 << shift) - 1), shift - fine_bits)
     )
-    draws = (
-        df.sparkSession.range(n)
-        .select(F.col("id").alias("draw"), ranges.scalar().alias("_ranges"))
-        .filter(F.size("_ranges") > 0)
-        .withColumn("_place", F.pmod(hash_long(F.col("draw"), seed), F.element_at("_ranges", -1)["_end"]))
-        .withColumn("_range", F.filter("_ranges", lambda r: r["_end"] > F.col("_place"))[0])
-        .select(
-            "draw",
-            F.col("_range._bucket").alias("_bucket"),
-            (F.col("_place") - F.col("_range._start")).cast("int").alias("_rank"),
-        )
+    sizes = keyed.groupBy("_coarse", "_fine").agg(F.count("*").alias("_n"))
+    # At most 2^_COARSE_BITS rows are brought together here.
+    coarse = sizes.groupBy("_coarse").agg(F.sum("_n").alias("_n"))
+    in_coarse = _with_ends(coarse, Window.orderBy("_coarse"))
+    in_fine = _with_ends(sizes, Window.partitionBy("_coarse").orderBy("_fine"))
+
+    draws = df.sparkSession.range(n).select(
+        F.col("id").alias("draw"), F.pmod(hash_long(F.col("id"), seed), F.lit(total)).alias("_place")
     )
-    in_bucket = Window.partitionBy("_bucket").orderBy(key)
-    # At most one row per bucket, so the drawn buckets are safe to broadcast.
-    drawn = F.broadcast(draws.select("_bucket").distinct())
-    ranked = keyed.join(drawn, "_bucket", "left_semi").withColumn(
-        "_rank", F.row_number().over(in_bucket) - 1
+    step = max(1, total >> _COARSE_BITS)
+    placed = _into_ranges(draws, in_coarse, [], F.lit(step)).withColumn("_place", F.col("_place") - F.col("_start")).drop("_start", "_end", "_n")
+    fine_step = F.lit(max(1, step >> fine_bits))
+    drawn = _into_ranges(placed, in_fine, ["_coarse"], fine_step).select(
+        "draw", "_coarse", "_fine", (F.col("_place") - F.col("_start")).alias("_rank")
     )
-    return draws.join(ranked, ["_bucket", "_rank"]).select("draw", *df.columns)
+    in_bucket = Window.partitionBy("_coarse", "_fine").orderBy("_hash", key)
+    wanted = keyed.join(drawn.select("_coarse", "_fine").distinct(), ["_coarse", "_fine"], "left_semi")
+    ranked = wanted.withColumn("_rank", F.row_number().over(in_bucket).cast("long") - 1)
+    return drawn.join(ranked, ["_coarse", "_fine", "_rank"]).select("draw", *df.columns)
+
+
+def _with_ends(sizes: DataFrame, order: Window) -> DataFrame:
+    """Add the half-open range of places ``_start`` to ``_end`` of each bucket."""
+    return sizes.withColumn("_end", F.sum("_n").over(order)).withColumn("_start", F.col("_end") - F.col("_n"))
+
+
+def _into_ranges(draws: DataFrame, ranges: DataFrame, keys: Sequence[str], step: Column) -> DataFrame:
+    """Join each place to the range it lies in, through steps of equal width that a range overlaps."""
+    first = F.call_function("div", F.col("_start"), step)
+    last = F.call_function("div", F.col("_end") - 1, step)
+    stepped = ranges.withColumn("_step", F.explode(F.sequence(first, last)))
+    found = draws.withColumn("_step", F.call_function("div", F.col("_place"), step)).join(stepped, [*keys, "_step"])
+    return found.filter((F.col("_place") >= F.col("_start")) & (F.col("_place") < F.col("_end"))).drop("_step")
 
 
 def with_split(df: DataFrame, keys: Sequence[str], weights: Sequence[int], seed: int) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.plans.ratings import rmse
@@ -22,7 +22,7 @@ _CHECKPOINT_EVERY = 2
 
 
 def train(ratings: DataFrame, rank: int, blocks: int | None = None) -> ALSModel:
-    """Factor the ratings; users and items must be integers.
+    """Factor the ratings; users and items must be integers of 32 bits, which Spark's ALS checks.
 
     Ratings are cut into ``blocks`` by user and by item (one per core by default,
     at least 10), which is the unit of work of the training. Factors are
@@ -57,6 +57,35 @@ def factor_table(model: ALSModel) -> DataFrame:
     return users.unionByName(model.itemFactors.select(F.lit("item").alias("side"), "id", "features"))
 
 
+def _wide(model: ALSModel, side: str) -> DataFrame:
+    table = model.userFactors if side == "user" else model.itemFactors
+    return table.select(F.col("id").cast("long").alias(f"{side}_id"), F.transform("features", lambda x: x.cast("double")).alias(f"_{side}"))
+
+
+def _dot(left: str, right: str) -> Column:
+    return F.aggregate(F.zip_with(left, right, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def products(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """The pairs with ``product``, the dot product of their two factor rows; others drop out."""
+    known = pairs.join(_wide(model, "user"), "user_id").join(_wide(model, "item"), "item_id")
+    return known.withColumn("product", _dot("_user", "_item")).drop("_user", "_item")
+
+
+def user_residuals(model: ALSModel, ratings: DataFrame) -> DataFrame:
+    """``user_id``, ``residual``: how far each user's factors are from solving their own least-squares equation.
+
+    The last half-step of the training solves sum((u v - r) v) + regularisation * n * u = 0 for
+    every user; the residual is the length of the left side, relative to the sum of the ratings.
+    """
+    joined = ratings.join(_wide(model, "user"), "user_id").join(_wide(model, "item"), "item_id")
+    error = _dot("_user", "_item") - F.col("rating")
+    sums = [F.sum(error * F.col("_item")[k]) + REGULARIZATION * F.count("*") * F.max(F.col("_user")[k]) for k in range(model.rank)]
+    gradient = joined.groupBy("user_id").agg(F.sum("rating").alias("_total"), *[total.alias(f"_g{k}") for k, total in enumerate(sums)])
+    length = F.sqrt(sum(F.col(f"_g{k}") * F.col(f"_g{k}") for k in range(model.rank)))
+    return gradient.select("user_id", F.try_divide(length, F.col("_total")).alias("residual"))
+
+
 @dataclass
 class Selection:
     """The chosen model, its rank, and the error of every rank tried."""

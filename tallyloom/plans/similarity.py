@@ -136,9 +136,35 @@ def inverted_index(
     return index
 
 
+_TEXT_KEY = ("_hash", "_other", "_length")
+
+
+def _with_text_key(docs: DataFrame) -> DataFrame:
+    """Two hashes and the length stand for a text where documents are grouped by it; a null text has a key of its own."""
+    text = F.col("text")
+    return docs.select(
+        "id", F.xxhash64(text).alias("_hash"), F.xxhash64(F.lit("text"), text).alias("_other"),
+        F.coalesce(F.length(text), F.lit(-1)).alias("_length"), F.coalesce(F.regexp_extract("id", r"([0-9]+)$", 1).try_cast("long"), F.xxhash64("id")).alias("_number"),
+    )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """``id``, ``first_id``, ``copies``: every document, and of its copies the one with the smallest number.
+
+    Ids end in a number that tells documents apart. Texts themselves are not
+    moved, only their hashes; a text with very many copies is counted before the
+    shuffle, and the join back is by hash, where skewed groups are split.
+    """
+    keyed = stage_table(_with_text_key(docs))
+    first = keyed.groupBy(*_TEXT_KEY).agg(F.min("_number").alias("_number"), F.count("*").alias("copies"))
+    names = first.join(keyed.select(*_TEXT_KEY, "_number", F.col("id").alias("first_id")), [*_TEXT_KEY, "_number"])
+    return keyed.select("id", *_TEXT_KEY).join(names.drop("_number"), list(_TEXT_KEY)).select("id", "first_id", "copies")
+
+
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row per text with the smallest id that has it and the number of copies."""
-    return docs.groupBy("text").agg(F.min("id").alias("id"), F.count("*").alias("copies")).select("id", "copies", "text")
+    """One row per text with the id of its representative and the number of copies."""
+    first = representatives(docs).filter("id = first_id").select("id", "copies")
+    return docs.join(first, "id").select("id", "copies", "text")
 
 
 def _indexed(docs: DataFrame, idf: DataFrame, stopwords: Sequence[str]) -> DataFrame:
@@ -178,8 +204,8 @@ def similar_pairs(
     """All pairs with at least the given cosine similarity, which must be positive.
 
     Exact copies are compared once: a row stands for ``a_copies * b_copies``
-    pairs and names the smallest ids. Weights are computed once per text and
-    staged, and so are the candidates. Candidates are pairs with a common token of sufficient reach on both
+    pairs and names the representatives; :func:`representatives` lists the copies
+    of each. Weights are computed once per text and staged, and so are the candidates. Candidates are pairs with a common token of sufficient reach on both
     sides, which every similar pair has; tokens found in most documents rarely
     reach far enough to be looked up. Each candidate is scored with all tokens.
     """
@@ -202,3 +228,17 @@ def similar_pairs(
             F.col("b_id.copies").alias("b_copies"),
         )
     )
+
+
+def other_pairs(similar: DataFrame, gold: DataFrame, a_docs: DataFrame, b_docs: DataFrame) -> DataFrame:
+    """What is left of ``similar_pairs`` without the gold pairs: representatives, similarity and ``pairs``.
+
+    Gold pairs may name any copies. Each is counted for the representatives of its
+    two documents, and only so many of the pairs that a row stands for are taken away.
+    """
+    a_first = representatives(a_docs).select(F.col("id").alias("a_id"), F.col("first_id").alias("_a"))
+    b_first = representatives(b_docs).select(F.col("id").alias("b_id"), F.col("first_id").alias("_b"))
+    known = gold.select("a_id", "b_id").distinct().join(a_first, "a_id").join(b_first, "b_id")
+    counted = known.groupBy(F.col("_a").alias("a_id"), F.col("_b").alias("b_id")).agg(F.count("*").alias("_gold"))
+    rest = F.col("a_copies") * F.col("b_copies") - F.coalesce("_gold", F.lit(0))
+    return similar.join(counted, ["a_id", "b_id"], "left").withColumn("pairs", rest).filter("pairs > 0").select("a_id", "b_id", "similarity", "pairs")

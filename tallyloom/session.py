@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,10 @@ RUNTIME_SETTINGS = {
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the runtime SQL options the jobs rely on."""
+    """Set the runtime SQL options the jobs rely on, where they differ."""
     for name, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -51,28 +53,49 @@ def build_session(
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A folder of our own is used only where the cluster names none and the
-    session is local; on a cluster such a folder would be machine-local.
+    Where it is unset, a local session uses a folder in its warehouse; on a
+    cluster the setting is required, as no other folder is known to be shared.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tallyloom-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+_STAGED: list[str] = []
+
+
 def stage_table(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result feeds several later steps: the columns can be pruned per
-    step, and a lost executor costs a re-read rather than a recomputation.
+    step, and a lost executor costs a re-read rather than a recomputation. The
+    table stays until :func:`release_staged`.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables staged by this process; DataFrames that read them can't be used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_STAGED) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block at its end; read all results before."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        release_staged(spark, before)

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from tallyloom.sources.fields import has_fields, with_fields
 from tallyloom.sources.quality import FAILED, PARSED
 
-# The two line patterns and the month names.
+# The two line patterns.
 STRICT_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)" (\d{3}) (\S+)'
 REPAIRED_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)'
-MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 FIELDS = 9
 
@@ -19,14 +18,11 @@ FIELDS = 9
 def log_timestamp(text: Column) -> Column:
     """``dd/Mon/yyyy:HH:mm:ss`` as a timestamp without zone; NULL for an impossible date.
 
-    The zone offset is ignored, so the value never depends on the session zone.
+    The zone offset is ignored, so the value never depends on the session zone: the
+    day is read at noon, which every zone has, and the time of day is added as text.
     """
-    month = F.array_position(F.array(*[F.lit(name) for name in MONTHS]), F.substring(text, 4, 3))
-    iso = F.concat(
-        F.substring(text, 8, 4), F.lit("-"), month.cast("string"), F.lit("-"), F.substring(text, 1, 2),
-        F.lit(" "), F.substring(text, 13, 8),
-    )
-    return iso.try_cast("timestamp_ntz")
+    day = F.try_to_timestamp(F.concat(F.substring(text, 1, 11), F.lit(":12")), F.lit("dd/MMM/yyyy:HH")).cast("date")
+    return F.concat(day.cast("string"), F.lit(" "), F.substring(text, 13, 8)).try_cast("timestamp_ntz")
 
 
 def parse_access_log(lines: DataFrame, line: str = "line", pattern: str = REPAIRED_PATTERN) -> DataFrame:

@@ -19,7 +19,9 @@ def with_fields(lines: DataFrame, line: str, pattern: str, groups: int, name: st
     below it; moved below a projection, they would run the pattern once per use.
     """
     replaced = F.regexp_replace(F.col(line), "(?s)" + pattern + ".*", _BREAK.join(f"${i}" for i in range(1, groups + 1)))
-    return lines.select(*lines.columns, F.explode_outer(F.array(F.split(replaced, _BREAK))).alias(name))
+    # A value that does hold a line break is no line and never taken for a match.
+    fields = F.when(~F.contains(F.col(line), F.lit(_BREAK)), F.split(replaced, _BREAK)).otherwise(F.array().cast("array<string>"))
+    return lines.select(*lines.columns, F.explode_outer(F.array(fields)).alias(name))
 
 
 def has_fields(fields: Column, groups: int) -> Column:

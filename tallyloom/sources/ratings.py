@@ -27,8 +27,8 @@ def parse_ratings(lines: DataFrame, line: str = "line") -> DataFrame:
     return _with_status(
         lines,
         {
-            "user_id": F.get(field, F.lit(0)).try_cast("int"),
-            "item_id": F.get(field, F.lit(1)).try_cast("int"),
+            "user_id": F.get(field, F.lit(0)).try_cast("bigint"),
+            "item_id": F.get(field, F.lit(1)).try_cast("bigint"),
             "rating": F.get(field, F.lit(2)).try_cast("double"),
         },
     )
@@ -39,5 +39,5 @@ def parse_items(lines: DataFrame, line: str = "line") -> DataFrame:
     field = F.split(F.col(line), SEPARATOR)
     return _with_status(
         lines,
-        {"item_id": F.get(field, F.lit(0)).try_cast("int"), "title": F.get(field, F.lit(1))},
+        {"item_id": F.get(field, F.lit(0)).try_cast("bigint"), "title": F.get(field, F.lit(1))},
     )

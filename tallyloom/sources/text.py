@@ -26,13 +26,3 @@ def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     # A split has at least one element, so the outer form adds no rows; see operators.unfolding.
     lines = docs.filter(F.col(text).isNotNull())
     return lines.select(doc_id, F.posexplode_outer(F.split(F.col(text), "\n")).alias("line_no", "line"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows that come from fewer read tasks than there are cores.
-
-    Meant for text before heavy per-row work, when it lies in a few unsplittable
-    files. Inputs with enough splits are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

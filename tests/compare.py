@@ -5,6 +5,7 @@
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -65,7 +66,7 @@ def main(sf_dir, names):
     import __spark_entry__ as entry
     from tallyloom.session import build_session
 
-    spark = build_session("compare", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    spark = build_session("compare", "local[8]", 8, **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"), "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = database(sf_dir)
     failed = 0

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from tallyloom.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tallyloom-tests", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+        "tallyloom-tests", "local[8]", 8, **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyloom-tests-"), "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -29,6 +29,7 @@ def hot(spark):
 
 
 def test_counting_literals(spark):
+    # The list and its counts.
     repetitive = spark.createDataFrame([(x,) for x in [1, 2, 3, 1, 2, 3, 1, 2, 1, 2, 3, 3, 3, 4, 5, 4, 6]], "x int")
     assert {r.x: r.n for r in count_by(repetitive, "x").collect()} == {1: 4, 2: 4, 3: 5, 4: 2, 5: 1, 6: 1}
     numbers = spark.range(100000)
@@ -142,9 +143,30 @@ def test_split_is_disjoint_and_complete(spark):
     assert all(abs(len(part) / 20000 - share) < 0.02 for part, share in zip(parts, (0.6, 0.2, 0.2)))
 
 
-def test_hash_bucket_takes_any_integers(spark):
-    df = spark.createDataFrame([(2**62,), (-(2**62),), (0,)], "x long")
-    assert all(0 <= r.b < 10 for r in df.select(hash_bucket([F.col("x")], 7, 10).alias("b")).collect())
+def test_hash_bucket_takes_keys_of_any_type(spark):
+    df = spark.createDataFrame([(2**62, "a"), (-(2**62), "é"), (0, None), (None, "")], "x long, y string")
+    assert all(0 <= r.b < 10 for r in df.select(hash_bucket([F.col("x"), F.col("y")], 7, 10).alias("b")).collect())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 10])
+def test_splits_of_two_seeds_are_independent(spark, seed):
+    df = spark.range(20000).select((F.col("id") % 150).alias("u"), F.col("id").alias("i"))
+    both = split_rows(df, ["u", "i"], [6, 2, 2], 0)[0].join(split_rows(df, ["u", "i"], [6, 2, 2], seed)[0], ["u", "i"])
+    assert abs(both.count() / 20000 - 0.36) < 0.02
+
+
+def test_draws_have_one_plan_for_any_number(spark):
+    df = spark.range(30000).withColumnRenamed("id", "key")
+
+    def nodes(n):
+        plan = sample_with_replacement(df, "key", n, 3)._jdf.queryExecution().optimizedPlan().toString()
+        return [line.strip(" +-:").split(" ")[0] for line in plan.splitlines()]
+
+    assert nodes(60) == nodes(1_000_000)
+    drawn = sample_with_replacement(df, "key", 100_000, 3)
+    assert drawn.count() == 100_000
+    share = drawn.select("key").distinct().count() / 30000
+    assert abs(share - (1 - 2.718281828 ** (-100_000 / 30000))) < 0.01
 
 
 def test_unfold_drops_nothing_but_empty_arrays(spark):
@@ -161,6 +183,13 @@ def test_reduce_by_key(spark, hot):
     assert {r.k: r.v for r in reduce_by_key(pairs, "k", "v", lambda x, y: x + y).collect()} == {"a": 3, "b": 1, None: 11}
 
 
+def test_reduce_by_key_groups_as_sql_does(spark):
+    rows = [(float("nan"), 1), (float("nan"), 2), (0.0, 4), (-0.0, 8), (None, 16), (None, 32), (1.5, 64)]
+    df = spark.createDataFrame(rows, "k double, v int").repartition(4)
+    got = sorted(r.v for r in reduce_by_key(df, "k", "v", lambda x, y: x + y).collect())
+    assert got == sorted(r.v for r in df.groupBy("k").agg(F.sum("v").alias("v")).collect())
+
+
 def test_python_functions(spark):
     words = spark.createDataFrame([("cat",), ("rat",), (None,)], "w string")
     plural = row_function(lambda word: word + "s", "string")

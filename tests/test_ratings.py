@@ -77,3 +77,19 @@ def test_top_rated(spark):
     top = ratings.top_rated(spark.createDataFrame(rows, TRIPLE), items, 3, 10).collect()
     keys = [(round(r.mean_rating, 3), r.title) for r in top]
     assert len(top) == 3 and keys == sorted(keys, reverse=True)
+
+
+def test_user_factors_solve_their_equation(low_rank):
+    model = factors.train(low_rank, 3)
+    assert factors.user_residuals(model, low_rank).agg({"residual": "max"}).first()[0] < 1e-5
+    pairs = low_rank.select("user_id", "item_id")
+    products = {(r.user_id, r.item_id): r.product for r in factors.products(model, pairs).collect()}
+    predicted = {(r.user_id, r.item_id): r.prediction for r in factors.predict(model, pairs).collect()}
+    assert products.keys() == predicted.keys()
+    assert all(abs(products[k] - predicted[k]) < 1e-4 for k in products)
+
+
+def test_ids_beyond_32_bits_are_refused(spark):
+    big = spark.createDataFrame([(2**31 + 1, 1, 3.0), (1, 2, 4.0)], "user_id long, item_id long, rating double")
+    with pytest.raises(Exception):  # Spark says so on an executor
+        factors.train(big, 2)

@@ -57,7 +57,7 @@ def test_similar_pairs_are_exactly_those_above_the_bound(sources, expected, leas
     for side in (a, b):
         for i, text in side:
             texts.setdefault((side is a, text), []).append(i)
-    members = {min(ids): ids for ids in texts.values()}
+    members = {min(ids, key=lambda i: int("".join(filter(str.isdigit, i)) or 0)): ids for ids in texts.values()}
     found = {}
     for row in similarity.similar_pairs(a_df, b_df, idf, least).collect():
         assert (row.a_copies, row.b_copies) == (len(members[row.a_id]), len(members[row.b_id]))
@@ -106,3 +106,40 @@ def test_requested_pairs(spark, sources, expected):
             assert row.similarity is None
         else:
             assert abs(row.similarity - expected[row.a_id, row.b_id]) < 1e-9
+
+
+def test_every_copy_is_listed(sources):
+    a, _, a_df, *_ = sources
+    rows = {r.id: (r.first_id, r.copies) for r in similarity.representatives(a_df).collect()}
+    texts = {}
+    for i, text in a:
+        texts.setdefault(text, []).append(i)
+    assert set(rows) == {i for i, _ in a}
+    for ids in texts.values():
+        assert len({rows[i] for i in ids}) == 1
+        assert rows[ids[0]][0] in ids and rows[ids[0]][1] == len(ids)
+
+
+def test_gold_pairs_of_any_copies_are_taken_away(spark, sources, expected):
+    a, b, a_df, b_df, idf = sources
+    gold = [("ac3", "bc2"), ("ac4", "bc2"), ("ac0", "bc0"), ("a1", "b1"), ("nobody", "b1")]
+    gold_df = spark.createDataFrame(gold, "a_id string, b_id string")
+    similar = similarity.similar_pairs(a_df, b_df, idf, 0.05)
+    rows = similarity.other_pairs(similar, gold_df, a_df, b_df).collect()
+    wanted = {pair for pair, score in expected.items() if score >= 0.05} - set(gold)
+    assert sum(r.pairs for r in rows) == len(wanted)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7])
+def test_passages_of_any_length_are_found(spark, n):
+    """As a search for the text, with first and last words cut in the document."""
+    from tallyloom.catalog.tables import containing
+
+    words = "we say hello brave world today and more, again hello".split(" ")
+    docs = [("d1", " ".join(words)), ("d2", "othello braver new worlds"), ("d3", "Hello  Brave"), ("d4", None), ("d5", ""), ("d6", "..,")]
+    texts = [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] + ["llo brave", "ello brave worl", "o", "", None, ".,", " ", "  Brave"]
+    passages = [(f"b{i}", t) for i, t in enumerate(texts)]
+    schema = "id string, text string"
+    found = containing(spark.createDataFrame(docs, schema), spark.createDataFrame(passages, schema)).collect()
+    wanted = {(d, p) for d, text in docs for p, t in passages if text and t and t in text}
+    assert sorted(map(tuple, found)) == sorted(wanted)

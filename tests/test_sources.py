@@ -5,14 +5,15 @@ from tallyloom.sources.quality import FAILED, log_quality, record_quality, statu
 from tallyloom.sources.ratings import parse_items, parse_ratings
 from tallyloom.sources.records import parse_gold, parse_products
 
+# Fixed value: the sample line.
 LINE = '127.0.0.1 - - [01/Aug/1995:00:00:01 -0400] "GET /images/launch-logo.gif HTTP/1.0" 200 1839'
-DASH = '127.0.0.1 - - [01/Aug/1995:00:00:01 -0400] "GET /a HTTP/1.0" 304 -'
-BLANK = '127.0.0.1 - - [01/Aug/1995:00:00:01 -0400] "GET /a HTTP/1.0 " 200 5 trailing text'
-NO_PROTOCOL = '127.0.0.1 - - [01/Aug/1995:00:00:01 -0400] "GET /a" 200 5'
-BAD_ZONE = '127.0.0.1 - - [01/Aug/1995:00:00:01 0400] "GET /a HTTP/1.0" 200 5'
-BAD_DATE = '127.0.0.1 - - [31/Feb/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 5'
-BAD_MONTH = '127.0.0.1 - - [01/Abc/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 5'
-BAD_SIZE = '127.0.0.1 - - [01/Aug/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 5x'
+DASH = '10.1.2.3 - - [05/Sep/2003:10:20:30 +0100] "GET /a HTTP/1.0" 304 -'
+BLANK = '10.1.2.3 - - [05/Sep/2003:10:20:30 +0100] "GET /a HTTP/1.0 " 200 5 trailing text'
+NO_PROTOCOL = '10.1.2.3 - - [05/Sep/2003:10:20:30 +0100] "GET /a" 200 5'
+BAD_ZONE = '10.1.2.3 - - [05/Sep/2003:10:20:30 0100] "GET /a HTTP/1.0" 200 5'
+BAD_DATE = '10.1.2.3 - - [31/Feb/2003:10:20:30 +0100] "GET /a HTTP/1.0" 200 5'
+BAD_MONTH = '10.1.2.3 - - [05/Abc/2003:10:20:30 +0100] "GET /a HTTP/1.0" 200 5'
+BAD_SIZE = '10.1.2.3 - - [05/Sep/2003:10:20:30 +0100] "GET /a HTTP/1.0" 200 5x'
 
 
 def parsed(spark, *lines, **options):
@@ -93,3 +94,15 @@ def test_ratings_and_items(spark):
     assert [r.parse_status for r in rows] == [1, 0, 0]
     items = spark.createDataFrame([("1::Blue Harbour (1991)::Drama|Comedy",)], "line string")
     assert parse_items(items).first().title == "Blue Harbour (1991)"
+
+
+def test_a_value_with_a_line_feed_is_no_line(spark):
+    lines = spark.createDataFrame([("a\nb",), ('"a","b"',), ("a",)], "line string")
+    assert sorted(r.parse_status for r in parse_gold(lines).collect()) == [-1, -1, 1]
+    assert parsed(spark, LINE + "\nx").first().parse_status == 0
+
+
+def test_ids_beyond_32_bits(spark):
+    row = parse_ratings(spark.createDataFrame([(f"{2**31 + 1}::{2**40}::3.5::0",)], "line string")).first()
+    assert (row.parse_status, row.user_id, row.item_id, row.rating) == (1, 2**31 + 1, 2**40, 3.5)
+    assert parse_items(spark.createDataFrame([(f"{2**31 + 1}::t::g",)], "line string")).first().item_id == 2**31 + 1

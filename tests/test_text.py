@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import STOPWORDS, content_tokens, normalize_text, split_words, word_tokens
 from tallyloom.plans import similarity, weights, words
-from tallyloom.sources.text import lines_of, read_lines, read_words, spread
+from tallyloom.sources.text import lines_of, read_lines, read_words
 
 
 def one(spark, column, text):
@@ -85,12 +85,6 @@ def test_readers(spark, tmp_path):
     assert [r.token for r in weights.without_words(tokens, listed).collect()] == ["fox", "fox"]
 
 
-def test_spread_only_when_needed(spark):
-    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide) is wide
-
-
 def test_term_frequency(spark):
     docs = spark.createDataFrame([("x", "one_ one_ two!"), ("y", "")], "id string, text string")
     assert {(r.id, r.token): r.tf for r in weights.term_frequency(docs).collect()} == {
@@ -119,3 +113,15 @@ def test_vectors(spark):
     cosine = {r.b_id: r.similarity for r in similarity.cosines(pairs, a, b).collect()}
     assert abs(cosine["b"] - 102 / math.sqrt(38) / math.sqrt(401)) < 1e-12
     assert cosine["none"] is None
+
+
+def test_staged_tables_are_released(spark, tmp_path):
+    from tallyloom.session import checkpoint_folder, stage_table, staging
+    import os
+
+    folder = checkpoint_folder(spark)
+    before = set(os.listdir(folder))
+    with staging(spark):
+        assert stage_table(spark.range(5)).count() == 5
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
