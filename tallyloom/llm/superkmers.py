@@ -65,6 +65,11 @@ def _by_part(scan: SimpleNamespace, sent: np.ndarray, n_parts: int):
     return C.blobs_by_part(C.part_of(scan.key[sent], n_parts), n_parts)
 
 
+def _codes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """48 bits of each word hash, as they travel."""
+    return hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint16)
+
+
 def _answer(k: int):
     """One bit per window of a part: whether it also starts earlier."""
 
@@ -72,7 +77,8 @@ def _answer(k: int):
         rows = table.to_pydict()
         lengths = [np.frombuffer(x, np.int32) for x in rows["lengths"]]
         length = np.concatenate(lengths).astype(np.int64)
-        words = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["words"]])
+        words = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["low"]]).astype(np.uint64)
+        words |= np.concatenate([np.frombuffer(x, np.uint16) for x in rows["high"]]).astype(np.uint64) << np.uint64(32)
         column = {name: np.concatenate([np.frombuffer(x, np.int64) for x in rows[name]]) for name in ("ids", "docs", "starts")}
         column["shard"] = np.repeat(np.array(rows["shard"]), [len(x) for x in lengths])
         count = length - k + 1
@@ -123,14 +129,14 @@ def _judged(docs: DataFrame, k: int, m: int, carry: bool):
             length = scan.windows[chosen] + k - 1
             spread = np.repeat(scan.first[chosen] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
             doc = scan.doc[scan.first[chosen]]
-            rows.append((p, length.astype(np.int32), scan.hashes[spread], shard.ids[doc], doc, scan.first[chosen] - scan.firsts[doc]))
+            rows.append((p, length.astype(np.int32), *_codes(scan.hashes[spread]), shard.ids[doc], doc, scan.first[chosen] - scan.firsts[doc]))
         if rows:
-            names = ("part", "lengths", "words", "ids", "docs", "starts")
+            names = ("part", "lengths", "low", "high", "ids", "docs", "starts")
             columns = dict(zip(names, zip(*rows, strict=True), strict=True))
             yield {"part": columns.pop("part"), "shard": [shard.shard] * len(rows)} | {name: [a.tobytes() for a in arrays] for name, arrays in columns.items()}
 
     flagged = shards.join(flags, "shard", "left")
-    schema = "part long, shard long, lengths binary, words binary, ids binary, docs binary, starts binary"
+    schema = "part long, shard long, lengths binary, low binary, high binary, ids binary, docs binary, starts binary"
     sent = C.map_shards(flagged, send, schema, "answers")
     answers = sent.groupBy("part").applyInArrow(_answer(k), "part long, shard long, bits binary")
     repeats = C.staged(answers.groupBy("shard").agg(F.collect_list(F.struct("part", "bits")).alias("repeats")))
@@ -158,7 +164,7 @@ def without_repeats(docs: DataFrame, k: int = 20, m: int = 5) -> DataFrame:
     earlier: in a document of a smaller id, or earlier in the same one. Windows are judged on the input. Words are runs
     without white space, unchanged; null and empty texts have none. Rows with equal ids are separate documents in a
     fixed order; a null id counts as the smallest. ``kept_sha256`` is of the kept words joined by one space. Words are
-    compared as 64-bit hashes.
+    compared as hashes of 48 bits, in all ``k`` places of a window.
     """
     shards, repeated = _judged(docs, k, m, carry=False)
 
