@@ -19,6 +19,8 @@ from tallyloom.llm import common as C
 
 #: Phrases that are broadcast at a time; more are searched block by block.
 PHRASES = 100_000
+#: Bytes of text in one index.
+INDEX_BYTES = 2 << 20
 #: Every so many words the place of a suffix is kept.
 SAMPLE = 16
 #: All ASCII but digits and small letters (texts are lower-cased first).
@@ -188,7 +190,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, shar
     words. Rows with equal ids are separate documents. More columns are ignored.
     """
     spark = docs.sparkSession
-    shards = C.shards_of(docs) if shards is None else shards
+    shards = C.shards_of(docs, INDEX_BYTES) if shards is None else shards
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     phrases = C.staged(items.mapInArrow(_phrase_rows(window), "item_id long, length int, words binary").distinct())
     blocks = max(1, -(-phrases.count() // PHRASES))
@@ -264,7 +266,7 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Data
 
     All rows and columns stay; ``n_chars``, if there, counts the new text. A null text stays null.
     """
-    shards = C.shards_of(docs, carry=True)
+    shards = C.shards_of(docs, INDEX_BYTES, carry=True)
     hits = benchmark_hits(docs, benchmark, window, shards).filter("n_hit > 0")
     by_shard = hits.groupBy(F.shiftright("ref", 20).alias("shard")).agg(F.collect_list(F.struct("ref", "starts", "ends")).alias("hits"))
 
