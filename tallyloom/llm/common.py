@@ -12,6 +12,7 @@ of all documents is one entry per shard, not one per document.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
@@ -52,10 +53,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    Spark removes the shuffle files of earlier jobs when the driver has collected what refers to them, so the driver
+    is asked to do that here, between jobs, rather than whenever its memory runs low.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path, compression="zstd")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def limit_batches(spark: SparkSession) -> None:
