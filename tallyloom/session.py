@@ -70,7 +70,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
 _STAGED: list[str] = []
 
 
-def stage_table(df: DataFrame) -> DataFrame:
+def stage_table(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result feeds several later steps: the columns can be pruned per
@@ -79,7 +79,7 @@ def stage_table(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     _STAGED.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
