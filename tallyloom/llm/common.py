@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import gc
 import hashlib
-import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from types import SimpleNamespace
@@ -28,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tallyloom.session import stage_table
+
 #: Raw bytes of text packed into one shard; a longer document is a shard of its own.
 SHARD_BYTES = 4 << 20
 #: Rows of one Arrow batch, so that a batch of long documents stays small.
@@ -42,30 +43,17 @@ SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 # Staging ------------------------------------------------------------------------------------------------------------
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset, and the session local, one below the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
-
-
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors.
 
     Spark removes the shuffle files of earlier jobs when the driver has collected what refers to them, so the driver
     is asked to do that here, between jobs, rather than whenever its memory runs low.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression="zstd")
-    schema = df.schema
+    table = stage_table(df, "zstd")
     del df
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    table.sparkSession.sparkContext._jvm.System.gc()
+    return table
 
 
 def limit_batches(spark: SparkSession) -> None:

@@ -34,7 +34,7 @@ CLOSES = {
     "tr": ({"tr"}, {"tr", "td", "th"}), "td": ({"td", "th"}, {"td", "th"}), "th": ({"td", "th"}, {"td", "th"}),
 }
 
-ASIDE_TAGS = {"nav", "footer", "aside", "form", "menu", "search"}
+ASIDE_TAGS = {"nav", "footer", "aside", "menu", "search"}
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 #: Words of class and id that name what is no main text; fixed values.
 ASIDE_WORDS = set(
@@ -44,6 +44,8 @@ ASIDE_WORDS = set(
     "newsletter subscribe subscription signup login comment comments commentlist reply replies respond disqus discussion "
     "share sharing social related recommended recommendations teaser teasers outbrain taboola skip".split()
 )
+#: Those that make even an article element no main text; fixed values.
+NO_ARTICLE = set("ad ads advert advertisement sponsored promo comment comments reply related teaser recommended".split())
 MAIN_TAGS, MAIN_ROLES = {"article", "main"}, {"main", "article"}
 MAIN_WORDS = set("article content post entry story main maintext bodytext".split())
 
@@ -64,13 +66,14 @@ class Node:
         role = (attributes.get("role") or "").lower()
         words = {w.lower() for name in ("class", "id") for w in _WORD.findall(attributes.get(name) or "")}
         inside = parent is not None and parent.within_main()
-        self.main = tag in MAIN_TAGS or role in MAIN_ROLES
+        self.main = (tag in MAIN_TAGS or role in MAIN_ROLES) and not (tag == "article" and words & NO_ARTICLE)
         self.hard = (
             tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not inside) or "hidden" in attributes
             or (attributes.get("aria-hidden") or "").lower() == "true"
             or "display:none" in (attributes.get("style") or "").replace(" ", "").lower()
         )
-        self.soft = 0 if self.main or tag in ("html", "body") else -1 if words & ASIDE_WORDS else 1 if words & MAIN_WORDS else 0
+        named = 0 if self.main or tag in ("html", "body") else -1 if words & ASIDE_WORDS else 1 if words & MAIN_WORDS else 0
+        self.soft = -1 if tag == "form" else named
 
     def within_main(self) -> bool:
         node = self
@@ -199,7 +202,7 @@ def evidence(blocks: list[tuple[str, Node, int]]) -> list[float]:
     scores = []
     for text, node, linked in blocks:
         aside, main = cues(node)
-        score = -0.5 + min(len(text) / 80, 2) - 6 * min(1, linked / len(text))
+        score = -0.5 + min(len(text) / 80, 2) - (2 if main == 2 else 6) * min(1, linked / len(text))
         score += (node.tag in ("p", "blockquote", "pre")) + (0.5 if node.tag in HEADINGS else 0) + (0.5 if _END.search(text) else 0)
         score -= 1 if len(text) < 25 and not _END.search(text) else 0
         score += (0, 2, 6)[main] - (4 if has_main and main < 2 else 0) - (14 if aside else 0)

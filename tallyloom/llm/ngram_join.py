@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm import common as C
 from tallyloom.llm.components import connected_components
 
-#: Documents searched against each other at a time.
-BLOCK = 256
+#: Documents searched against each other at a time, and bytes of their shingles.
+BLOCK, BLOCK_BYTES = 256, 16 << 20
 _DOCS = (1 << 20) - 1
 _SEEDS = (0x51ED270B, 0x2545F491, 0x9E3779B9)
 
@@ -120,12 +120,13 @@ def _search(percent: int):
 
 
 def _blocks(keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Search all pairs of documents with one key, block against block: ``keyed`` is ``ref, key, label, pairs``.
+    """Search all pairs of documents with one key, block against block: ``keyed`` is ``ref, size, key, label, pairs``.
 
     With ``pairs`` false only documents of the same block meet.
     """
-    many = keyed.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1")
-    placed = keyed.join(many.withColumn("_blocks", F.ceil(F.col("_n") / BLOCK)), "key").withColumn(
+    many = keyed.groupBy("key").agg(F.count("*").alias("_n"), F.sum("size").alias("_size")).filter("_n > 1")
+    blocks = F.ceil(F.greatest(F.col("_n") / BLOCK, F.col("_size") / BLOCK_BYTES))
+    placed = keyed.join(many.withColumn("_blocks", blocks), "key").withColumn(
         "_block", F.pmod(F.xxhash64("ref"), F.col("_blocks"))
     )
     others = F.when(F.col("pairs"), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(F.array("_block"))
@@ -188,7 +189,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     sets = held.select("ref", "n", "shingles")
 
     # Clusters from blocks with equal minimum hashes.
-    keyed = held.select("ref", F.explode(F.array(*(F.xxhash64(F.lit(j), F.col(f"least{j}")) for j in range(len(_SEEDS))))).alias("key"))
+    size = F.length("shingles").alias("size")
+    keyed = held.select("ref", size, F.explode(F.array(*(F.xxhash64(F.lit(j), F.col(f"least{j}")) for j in range(len(_SEEDS))))).alias("key"))
     found = C.staged(_blocks(keyed.withColumn("label", F.col("ref")).withColumn("pairs", F.lit(False)), sets, percent))
     clusters = C.staged(connected_components(found))
     labelled = sets.join(clusters.withColumnRenamed("node", "ref"), "ref", "left").withColumn("label", F.coalesce("component", "ref")).drop("component")
@@ -284,7 +286,7 @@ def _between_clusters(held: DataFrame, percent: int) -> DataFrame:
     heads = posted.groupBy("shingle").agg(F.min("ref").alias("head"), F.count("*").alias("_n")).filter("_n > 1")
     edges = posted.join(heads, "shingle").select(F.col("ref").alias("a"), F.col("head").alias("b")).distinct()
     candidates = connected_components(edges)
-    keyed = open_docs.select("ref", "label").join(candidates.select(F.col("node").alias("ref"), F.col("component").alias("key")), "ref")
+    keyed = open_docs.select("ref", "label", F.length("shingles").alias("size")).join(candidates.select(F.col("node").alias("ref"), F.col("component").alias("key")), "ref")
     return _blocks(keyed.withColumn("pairs", F.lit(True)), open_docs.select("ref", "n", "shingles"), percent)
 
 

@@ -253,12 +253,13 @@ PAGE = """<html><head><title>No</title><style>p{}</style></head><body class="has
 <div class="cookie-notice">We use cookies on this page, as you may know.</div>
 <article><header><h1>A &lt;title&gt;</h1></header><p>First&nbsp;paragraph<br>of  <b>text</b>.<p>Second one, unclosed
 <script>var a = "<p>no</p>";</script><ul><li>Item</li></ul><div class="ad">Buy this now, it is very cheap.</div>
+<p><a href=z>A linked paragraph</a></p><article class="comment"><p>Another reader says something of some length.</p></article>
 <form>Your name <input name=q></form><section id="comments"><p>A reader says this is a long and good text.</p></section></article>
 <aside>Related things to read</aside><footer>&copy; 2020</footer></body></html>"""
 
 
 def test_article_of_a_page():
-    assert html_mincut.main_text(PAGE) == "A <title>\n\nFirst paragraph of text.\n\nSecond one, unclosed\n\nItem"
+    assert html_mincut.main_text(PAGE) == "A <title>\n\nFirst paragraph of text.\n\nSecond one, unclosed\n\nItem\n\nA linked paragraph"
 
 
 @pytest.mark.parametrize("html", [None, "", "<p", "<<<>>>", "</div></p>", "<script>x", "<!-- a", "<body><nav>a</nav>", "<title>t", "&#xD800;<p>&#0;"])
