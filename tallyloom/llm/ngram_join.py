@@ -293,8 +293,8 @@ def _between_clusters(held: DataFrame, percent: int) -> DataFrame:
 def first_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest id.
 
-    Documents without words are kept. Rows with null ids stay unless they are copies of a document with an id; of
-    several rows with the kept id and an equal text one stays.
+    Documents without words are kept. Rows of one id, or without an id, can't be told apart by it: they stay if one of
+    them does, and of those with equal texts one stays.
     """
     found = near_duplicates(docs, words, percent)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
