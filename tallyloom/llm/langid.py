@@ -137,7 +137,8 @@ def train(labelled: DataFrame) -> Model | None:
                 found = [hashed for _, hashed in gram_hashes([row["text"]])]
                 yield C.record_batch({"lang": [row["lang"]], "doc_id": [row["doc_id"]], "grams": [np.unique(np.concatenate(found or [np.zeros(0, np.int64)])).astype(np.int32).tobytes()]}, fields)
 
-    rows = labelled.join(F.broadcast(sample), ["lang", "doc_id"]).mapInArrow(present, "lang string, doc_id long, grams binary").collect()
+    chosen = labelled.join(F.broadcast(sample), ["lang", "doc_id"]).dropDuplicates(["lang", "doc_id"])  # one row per id
+    rows = chosen.mapInArrow(present, "lang string, doc_id long, grams binary").collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"], r["grams"]))
     return fit([r["lang"] for r in rows], [np.frombuffer(r["grams"], np.int32) for r in rows])
 

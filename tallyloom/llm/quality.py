@@ -205,7 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
                 yield C.record_batch(dict(zip(FEATURES, found.T, strict=True)) | {"good": np.array(batch.column(1).to_pylist(), float)}, fields)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "quality").mapInArrow(measure, schema).collect()  # ``sample`` rows
+    once = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # however often an id is repeated
+    rows = once.select("text", "quality").mapInArrow(measure, schema).collect()  # ``sample`` rows
     data = np.array(rows, float).reshape(-1, len(FEATURES) + 1)
     data = data[np.lexsort(data.T)]  # the same model whatever the order of rows
     good = data[:, -1]
