@@ -83,11 +83,18 @@ def stage_table(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession, since: int = 0) -> None:
-    """Delete the tables staged by this process; DataFrames that read them can't be used any more."""
+def staged_tables() -> int:
+    """How many tables this process has staged and not released; a mark for :func:`release_staged`."""
+    return len(_STAGED)
+
+
+def release_staged(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Delete the tables staged by this process between two marks; DataFrames that read them can't be used any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while len(_STAGED) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    gone = _STAGED[since:until]
+    del _STAGED[since:until]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
 
 
