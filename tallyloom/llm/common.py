@@ -141,6 +141,21 @@ def whole_rows(shards: DataFrame, schema: StructType, texts: Callable[..., list[
     return shards.select("shard", "payload", *extra).mapInArrow(run, schema)
 
 
+def chosen_rows(shards: DataFrame, schema: StructType, rows: str) -> DataFrame:
+    """Some of the carried rows; the column ``rows`` has their places in the shard."""
+    fields = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                table = unpack(row["shard"], row["payload"]).table.take(pa.array(sorted(row[rows]), pa.int64()))
+                columns = [table.column(f"carried {i}").combine_chunks() for i in range(len(fields))]
+                arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+                yield pa.record_batch([a.cast(f.type) for a, f in zip(arrays, fields, strict=True)], schema=fields)
+
+    return shards.select("shard", "payload", rows).mapInArrow(run, schema)
+
+
 def parts_for(shards: DataFrame, part_bytes: int = 2 << 20) -> int:
     """A number of parts in proportion to the packed bytes; at most 65,536 so that a part fits 16 bits of a hash."""
     total = shards.agg(F.sum("n_bytes")).first()[0] or 0

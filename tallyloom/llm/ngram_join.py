@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import common as C
 from tallyloom.llm.components import connected_components
+from tallyloom.session import release_staged, staged_tables
 
 #: Documents searched against each other at a time, and bytes of their shingles.
 BLOCK, BLOCK_BYTES = 256, 16 << 20
@@ -144,7 +145,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     smallest id that links reach; null if all those ids are null. Rows with equal ids are separate documents.
     ``ref`` numbers the rows of this call. Shingles are held as 64-bit hashes.
     """
-    shards = C.shards_of(docs)
+    member = _members(C.shards_of(docs), words, percent)
+    least = member.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    return member.join(least, "group").select("doc_id", "n_shingles", "component_id", "ref", "copies_of")
+
+
+def first_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: the one with the smallest id, of equal ids the first row.
+
+    A row without an id stays only if no row of its group has one. Documents without words are groups of their own.
+    """
+    shards = C.shards_of(docs, carry=True)
+    member = _members(shards, words, percent)
+    first = member.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ref")).alias("first"))
+    rows = first.select(F.col("first.ref").alias("ref")).groupBy(F.shiftright("ref", 20).alias("shard")).agg(F.collect_list(F.col("ref").bitwiseAND(_DOCS)).alias("rows"))
+    return C.chosen_rows(shards.join(rows, "shard"), docs.schema, "rows")
+
+
+def _members(shards: DataFrame, words: int, percent: int) -> DataFrame:
+    """``ref, doc_id, n_shingles, copies_of, group`` of every document of the shards, staged."""
+    mark = staged_tables()
     parts = C.parts_for(shards)
 
     def digests(shard):
@@ -198,9 +218,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
 
     joined = connected_components(linked).select(F.col("node").alias("first"), "component")
     member = rows.join(distinct, ["n", "s1", "s2"], "left").join(joined, "first", "left")
-    member = C.staged(member.select("ref", "doc_id", F.col("n").alias("n_shingles"), F.col("first").alias("copies_of"), F.coalesce("component", "first", "ref").alias("_group")))
-    least = member.groupBy("_group").agg(F.min("doc_id").alias("component_id"))
-    return member.join(least, "_group").select("doc_id", "n_shingles", "component_id", "ref", "copies_of")
+    member = C.staged(member.select("ref", "doc_id", F.col("n").alias("n_shingles"), F.col("first").alias("copies_of"), F.coalesce("component", "first", "ref").alias("group")))
+    release_staged(shards.sparkSession, mark, staged_tables() - 1)  # all that led to it
+    return member
 
 
 def _between_clusters(held: DataFrame, percent: int) -> DataFrame:
@@ -288,15 +308,3 @@ def _between_clusters(held: DataFrame, percent: int) -> DataFrame:
     candidates = connected_components(edges)
     keyed = open_docs.select("ref", "label", F.length("shingles").alias("size")).join(candidates.select(F.col("node").alias("ref"), F.col("component").alias("key")), "ref")
     return _blocks(keyed.withColumn("pairs", F.lit(True)), open_docs.select("ref", "n", "shingles"), percent)
-
-
-def first_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with the smallest id.
-
-    Documents without words are kept. Rows of one id, or without an id, can't be told apart by it: they stay if one of
-    them does, and of those with equal texts one stays.
-    """
-    found = near_duplicates(docs, words, percent)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    chosen = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return chosen.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
