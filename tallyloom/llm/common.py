@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from tallyloom.session import stage_table
 
 #: Raw bytes of text packed into one shard; a longer document is a shard of its own.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Rows of one Arrow batch, so that a batch of long documents stays small.
 BATCH_ROWS = 1000
 #: Ends every packed text; no UTF-8 text holds this byte.
@@ -129,10 +129,11 @@ def whole_rows(shards: DataFrame, schema: StructType, texts: Callable[..., list[
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # one payload at a time
+                row = {name: batch.column(place)[i].as_py() for place, name in enumerate(("shard", "payload", *extra))}
                 shard = unpack(row["shard"], row["payload"])
                 new = texts(shard, *(row[name] for name in extra))
-                columns = [shard.table.column(f"carried {i}") for i in range(len(names))]
+                columns = [shard.table.column(f"carried {k}") for k in range(len(names))]
                 old = columns[names.index("text")].to_pylist()
                 columns[names.index("text")] = pa.chunked_array([pa.array([None if o is None else n for o, n in zip(old, new, strict=True)], pa.string())])
                 if "n_chars" in names:
@@ -149,9 +150,10 @@ def chosen_rows(shards: DataFrame, schema: StructType, rows: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                table = unpack(row["shard"], row["payload"]).table.take(pa.array(sorted(row[rows]), pa.int64()))
-                columns = [table.column(f"carried {i}").combine_chunks() for i in range(len(fields))]
+            for i in range(batch.num_rows):  # one payload at a time
+                shard, payload, places = (batch.column(place)[i].as_py() for place in range(3))
+                table = unpack(shard, payload).table.take(pa.array(sorted(places), pa.int64()))
+                columns = [table.column(f"carried {k}").combine_chunks() for k in range(len(fields))]
                 arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
                 yield pa.record_batch([a.cast(f.type) for a, f in zip(arrays, fields, strict=True)], schema=fields)
 
