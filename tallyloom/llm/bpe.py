@@ -252,16 +252,16 @@ class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pairs = BytePairs(ranks)
         self.split = regex.compile(pattern).findall
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.tokens, self.heads, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode_texts(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The tokens of each text."""
         if len(self.number) > MEMO:
-            self._forget()
+            self.forget()
         number, known = self.number, len(self.number)
         texts = [np.array([number.setdefault(p, len(number)) for p in self.split(text)], np.int64) for text in texts]
         fresh = [p.encode() for p, i in zip(reversed(number), range(len(number), known, -1), strict=False)][::-1]
@@ -305,6 +305,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, make: Callab
                     ids, texts, size = [], [], 0
         if ids:
             yield encoded(ids, texts)
+        tokenizer.forget()  # an idle worker holds no more than the table
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
