@@ -113,7 +113,9 @@ def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, carry: bool = Fal
     limit_batches(docs.sparkSession)
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
     if carry:
-        columns += [F.col(f"`{name}`").alias(f"carried {i}") for i, name in enumerate(docs.columns)]
+        # Of the text, which is there already, only whether it is null.
+        own = [F.col(f"`{name}`") for name in docs.columns]
+        columns += [(c.isNull() if name == "text" else c).alias(f"carried {i}") for i, (name, c) in enumerate(zip(docs.columns, own, strict=True))]
     packed = docs.select(*columns).mapInArrow(
         lambda batches: _pack(batches, shard_bytes), "shard long, n_docs long, n_bytes long, payload binary"
     )
@@ -134,8 +136,7 @@ def whole_rows(shards: DataFrame, schema: StructType, texts: Callable[..., list[
                 shard = unpack(row["shard"], row["payload"])
                 new = texts(shard, *(row[name] for name in extra))
                 columns = [shard.table.column(f"carried {k}") for k in range(len(names))]
-                old = columns[names.index("text")].to_pylist()
-                columns[names.index("text")] = pa.chunked_array([pa.array([None if o is None else n for o, n in zip(old, new, strict=True)], pa.string())])
+                columns[names.index("text")] = _texts(new, columns[names.index("text")])
                 if "n_chars" in names:
                     columns[names.index("n_chars")] = pa.chunked_array([pa.array([len(n) for n in new], pa.int64())])
                 arrays = [c.combine_chunks().cast(f.type) for c, f in zip(columns, fields, strict=True)]
@@ -144,6 +145,10 @@ def whole_rows(shards: DataFrame, schema: StructType, texts: Callable[..., list[
     return shards.select("shard", "payload", *extra).mapInArrow(run, schema)
 
 
+def _texts(texts: list[str], none) -> pa.ChunkedArray:
+    return pa.chunked_array([pa.array([None if gone else text for text, gone in zip(texts, none.to_pylist(), strict=True)], pa.string())])
+
+
 def chosen_rows(shards: DataFrame, schema: StructType, rows: str) -> DataFrame:
     """Some of the carried rows; the column ``rows`` has their places in the shard."""
     fields = to_arrow_schema(schema)
@@ -154,6 +159,8 @@ def chosen_rows(shards: DataFrame, schema: StructType, rows: str) -> DataFrame:
                 shard, payload, places = (batch.column(place)[i].as_py() for place in range(3))
                 table = unpack(shard, payload).table.take(pa.array(sorted(places), pa.int64()))
                 columns = [table.column(f"carried {k}").combine_chunks() for k in range(len(fields))]
+                texts = [text[:-1].decode() for text in table.column("text").to_pylist()]
+                columns[fields.names.index("text")] = _texts(texts, columns[fields.names.index("text")])
                 arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
                 yield pa.record_batch([a.cast(f.type) for a, f in zip(arrays, fields, strict=True)], schema=fields)
 
