@@ -15,14 +15,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import common as C
 
 ORDER = 4
-#: Bound of the broadcast trie: of its deepest nodes at most so many, the most frequent, are kept.
+#: Bound of the trie that :func:`train` gathers; the scores of texts don't use it and count every node.
 MAX_NODES = 4_000_000
+#: Bytes of text whose nodes one part owns.
+_PART_BYTES = 16 << 20
 _HELD = 2_000_000
 
 
@@ -57,14 +60,20 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Trie:
-    """Log10 probabilities of a set of counted nodes, ready for lookups; ``keys`` are ascending."""
+    """Log10 probabilities of a set of counted nodes, ready for lookups; ``keys`` are ascending.
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int = ORDER):
+    With ``low``, the nodes of order 1 over all texts, ``keys`` may be only those of some contexts of two bytes; then
+    what follows these contexts is scored as if all nodes were given.
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int = ORDER, low: tuple[np.ndarray, np.ndarray] | None = None):
         self.order, deepest, self.levels = order, order, []  # from the longest context to the empty one
         key, count = keys.astype(np.uint64), counts.astype(np.int64)
         longer = None
         for order in range(deepest, -1, -1):
-            if order < deepest:
+            if order < deepest and order == 1 and low is not None:
+                key, count = low
+            elif order < deepest:
                 key, count = _summed(key & np.uint64((1 << 8 * (order + 1)) - 1), count)
             context, at, distinct = np.unique(key >> np.uint64(8), return_inverse=True, return_counts=True)
             total = np.bincount(at, count, len(context))
@@ -122,7 +131,7 @@ class Trie:
 
 
 def train(shards: DataFrame, folds: int, chosen: int, n_parts: int) -> Trie:
-    """Count the nodes over all texts that are not held out."""
+    """A bounded trie of the texts that are not held out, gathered on the driver."""
     fields = C.pa_schema("part long, keys binary, counts binary")
 
     def rows(keys, counts):
@@ -190,6 +199,104 @@ def _most_frequent(summed: DataFrame) -> DataFrame:
     return summed.select("n", "keys", "counts").mapInArrow(cut, "n long, keys binary, counts binary")
 
 
+# Scores of nodes ----------------------------------------------------------------------------------------------------
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each number, first bytes first: ascending or small numbers compress well so."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _from_planes(blobs: list[bytes], width: int) -> list[np.ndarray]:
+    found = []
+    for blob in blobs:
+        values = np.zeros((len(blob) // width, 8), np.uint8)
+        values[:, :width] = np.frombuffer(blob, np.uint8).reshape(width, -1).T
+        found.append(values.reshape(-1).view("<u8"))
+    return found
+
+
+_NODE, _COUNT = ORDER + 1, 5
+
+
+def _binary(blobs: list[bytes]) -> pa.Array:
+    return pa.array(blobs, pa.binary())
+
+
+def _nodes_and_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    nodes = np.concatenate(_from_planes(table.column("nodes").to_pylist(), _NODE))
+    return nodes, np.concatenate(_from_planes(table.column("counts").to_pylist(), _COUNT)).astype(np.int64)
+
+
+def node_scores(shards: DataFrame, folds: int, chosen: int, n_parts: int) -> DataFrame:
+    """``part, shard, scores``: the log10 probability of every distinct node of a shard, by the model of all training texts.
+
+    The part of a node's hash adds up its count. Then nodes meet that have the same last two bytes of context, which
+    are at most 2^24: they have all that contexts of two to four bytes need, and the nodes of order 1, at most 2^16,
+    are sent to all. The scores go back to the part of the hash, which answers the shards.
+    """
+
+    def ask(shard):
+        nodes, held = nodes_of(shard.buffer), np.repeat(held_out(shard, folds, chosen), np.diff(shard.offsets))
+        own, n = np.unique(nodes[~held], return_counts=True)
+        every = np.union1d(own, nodes[held])
+        counts = np.zeros(len(every), np.int64)
+        counts[np.searchsorted(every, own)] = n
+        rows = [(p, _planes(every[at], _NODE), _planes(counts[at], _COUNT)) for p, at, _ in C.blobs_by_part(C.part_of(C.mix(every), n_parts), n_parts)]
+        if rows:
+            part, nodes, counts = zip(*rows, strict=True)
+            yield {"part": part, "shard": [shard.shard] * len(rows), "nodes": nodes, "counts": counts}
+
+    def add(table: pa.Table) -> pa.Table:
+        nodes, counts = _summed(*_nodes_and_counts(table))
+        group = C.part_of(C.mix(nodes >> np.uint64(8) & np.uint64(0xFFFF)), n_parts)
+        rows = [(p, _planes(nodes[at], _NODE), _planes(counts[at], _COUNT)) for p, at, _ in C.blobs_by_part(group, n_parts)]
+        return pa.table({"group": pa.array([r[0] for r in rows], pa.int64()), "nodes": _binary([r[1] for r in rows]), "counts": _binary([r[2] for r in rows])})
+
+    def first_order(batches):
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                nodes, counts = _nodes_and_counts(pa.Table.from_batches([batch.slice(i, 1)]))
+                total += np.bincount((nodes & np.uint64(0xFFFF)).astype(np.int64), counts, 1 << 16).astype(np.int64)
+        there = np.flatnonzero(total)
+        yield C.record_batch({"node": there, "n": total[there]}, C.pa_schema("node long, n long"))
+
+    asked = C.staged(C.map_shards(shards, ask, "part long, shard long, nodes binary, counts binary"))
+    summed = C.staged(asked.select("part", "nodes", "counts").groupBy("part").applyInArrow(add, "group long, nodes binary, counts binary"))
+    rows = summed.select("nodes", "counts").mapInArrow(first_order, "node long, n long").groupBy("node").agg(F.sum("n")).collect()  # at most 2^16
+    rows.sort()
+    low = np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64)
+    sent = shards.sparkSession.sparkContext.broadcast(low)
+
+    def score(table: pa.Table) -> pa.Table:
+        nodes, counts = _nodes_and_counts(table)
+        order = np.argsort(nodes)
+        nodes, counts = nodes[order], counts[order]
+        seen = counts > 0
+        if seen.any():
+            found = Trie(nodes[seen], counts[seen], low=sent.value).score(nodes)
+        else:
+            found = Trie(*sent.value, 1).score(nodes & np.uint64(0xFFFF))
+        rows = [(p, _planes(nodes[at], _NODE), own) for p, at, (own,) in C.blobs_by_part(C.part_of(C.mix(nodes), n_parts), n_parts, found)]
+        return pa.table({"part": pa.array([r[0] for r in rows], pa.int64()), "nodes": _binary([r[1] for r in rows]), "scores": _binary([r[2] for r in rows])})
+
+    def answer(table: pa.Table) -> pa.Table:
+        known, asks = table.filter(pc.is_valid(table.column("scores"))), table.filter(pc.is_null(table.column("scores")))
+        nodes = np.concatenate(_from_planes(known.column("nodes").to_pylist(), _NODE))
+        scores = np.concatenate([np.frombuffer(x, np.float64) for x in known.column("scores").to_pylist()])
+        order = np.argsort(nodes)
+        nodes, scores = nodes[order], scores[order]
+        said = [scores[np.searchsorted(nodes, own)].tobytes() for own in _from_planes(asks.column("nodes").to_pylist(), _NODE)]
+        return pa.table({"part": asks.column("part"), "shard": asks.column("shard"), "scores": _binary(said)})
+
+    scored = summed.groupBy("group").applyInArrow(score, "part long, nodes binary, scores binary")
+    both = asked.select("part", "shard", "nodes", F.lit(None).cast("binary").alias("scores")).unionByName(
+        scored.select("part", F.lit(None).cast("long").alias("shard"), "nodes", "scores")
+    )
+    return both.groupBy("part").applyInArrow(answer, "part long, shard long, scores binary")
+
+
 # Words --------------------------------------------------------------------------------------------------------------
 
 
@@ -243,7 +350,8 @@ def score_texts(docs: DataFrame, folds: int = 5, chosen: int = 1) -> DataFrame:
     """
     shards = C.shards_of(docs)
     parts = C.parts_for(shards)
-    model = docs.sparkSession.sparkContext.broadcast(train(shards, folds, chosen, parts))
+    node_parts = C.parts_for(shards, _PART_BYTES)
+    likely = C.staged(node_scores(shards, folds, chosen, node_parts))
     answers = C.staged(word_counts(shards, folds, chosen, parts))
     totals = answers.agg(F.sum("distinct"), F.sum("total")).first()
 
@@ -255,7 +363,7 @@ def score_texts(docs: DataFrame, folds: int = 5, chosen: int = 1) -> DataFrame:
 
     def score(shard, answers):
         words, number, firsts = _shard_words(shard)
-        counts, by_part = np.zeros(len(words), np.int64), {a["part"]: a["counts"] for a in answers or ()}
+        counts, by_part = np.zeros(len(words), np.int64), {a["part"]: a["blob"] for a in answers or () if a["word"]}
         for p, at, _ in C.blobs_by_part(C.part_of(words, parts), parts):
             counts[at] = np.frombuffer(by_part[p], np.int64)
         whole = np.log10(total + 0.5 * (distinct + 1))
@@ -263,7 +371,12 @@ def score_texts(docs: DataFrame, folds: int = 5, chosen: int = 1) -> DataFrame:
         end = np.log10(ends + 0.5) - whole
         n_words = np.diff(firsts)
         doc = np.repeat(np.arange(shard.n), n_words)
-        code = model.value.score(nodes_of(shard.buffer))
+        every = nodes_of(shard.buffer)
+        nodes, by_part = np.unique(every), {a["part"]: a["blob"] for a in answers or () if not a["word"]}
+        log = np.zeros(len(nodes))
+        for p, at, _ in C.blobs_by_part(C.part_of(C.mix(nodes), node_parts), node_parts):
+            log[at] = np.frombuffer(by_part[p], np.float64)
+        code = log[np.searchsorted(nodes, every)]
         yield {
             "doc_id": C.id_array(shard), "held_out": held_out(shard, folds, chosen), "n_tokens": n_words + 1,
             "n_known": np.bincount(doc, counts[number] > 0, shard.n).astype(np.int64) + (ends > 0),
@@ -271,6 +384,8 @@ def score_texts(docs: DataFrame, folds: int = 5, chosen: int = 1) -> DataFrame:
             "score": np.add.reduceat(code, shard.offsets[:-1]),
         }
 
-    by_shard = answers.groupBy("shard").agg(F.collect_list(F.struct("part", "counts")).alias("answers"))
+    own = answers.select("shard", F.lit(True).alias("word"), "part", F.col("counts").alias("blob"))
+    both = own.unionByName(likely.select("shard", F.lit(False).alias("word"), "part", F.col("scores").alias("blob")))
+    by_shard = both.groupBy("shard").agg(F.collect_list(F.struct("word", "part", "blob")).alias("answers"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return C.map_shards(shards.join(by_shard, "shard", "left"), score, schema, "answers")

@@ -145,6 +145,17 @@ def test_a_bounded_trie_keeps_the_most_frequent(spark, docs, monkeypatch):
     assert 0 < len(trie.levels[0]["key"]) <= 500
 
 
+def test_every_node_counts_however_many_there_are(docs, rows, monkeypatch):
+    monkeypatch.setattr(ppm, "MAX_NODES", 500)
+    monkeypatch.setattr(ppm, "_PART_BYTES", 1 << 12, raising=False)
+    raw = [np.frombuffer((r[1] or "").encode() + b"\xff", np.uint8) for r in rows]
+    nodes = [ppm.nodes_of(t) for t in raw]
+    trie = ppm.Trie(*np.unique(np.concatenate([n for r, n in zip(rows, nodes, strict=True) if cases.fold(r[0], 5) != 1]), return_counts=True))
+    assert len(trie.levels[0]["key"]) > 500
+    expected = Counter((r[0], round(trie.score(n).sum(), 5)) for r, n in zip(rows, nodes, strict=True))
+    assert Counter((r.doc_id, round(r.score, 5)) for r in ppm.score_texts(docs).collect()) == expected
+
+
 def test_scores_of_nothing(nothing):
     assert ppm.score_texts(nothing).count() == 0
 
