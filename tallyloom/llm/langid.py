@@ -3,7 +3,8 @@
 The kernel of two texts is the number of character n-grams (n = 1 to 4, blended) present in both, normalised by the
 numbers present in each. Some training texts are landmarks; the kernels of a text with all of them, whitened by the
 landmarks' own kernel matrix, are its features, and one ridge regression per language against the rest scores them.
-A batch of texts is a 0/1 matrix, so scoring is two matrix products.
+All n-grams count. Scores are linear in the n-grams present, so a model is one weight per language and n-gram of a
+landmark; other n-grams only add to the number that a text is normalised by.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from tallyloom.llm import common as C
 
 #: Training texts per language, at most, and how many of them are landmarks.
 PER_LANGUAGE, LANDMARKS = 400, 32
-#: n-grams that the kernel counts: those in most training texts, by a hash of 20 bits.
-GRAMS, HASH_BITS, LONGEST = 8192, 20, 4
+#: n-grams are told apart by a hash of 20 bits.
+HASH_BITS, LONGEST = 20, 4
 RIDGE, SHARPNESS = 1e-2, 6.0
 UNKNOWN = "und"
-_ROWS, _CHARS = 256, 1 << 20
+_ROWS, _CHARS, _GATHER = 256, 1 << 20, 4096
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -61,23 +62,38 @@ def gram_hashes(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield text[: len(rolled)][inside], hashed[inside].astype(np.int64)
 
 
+def grams_of(text: str) -> np.ndarray:
+    """The hashes present in a text, ascending."""
+    seen = np.zeros(1 << HASH_BITS, bool)
+    for _, hashed in gram_hashes([text]):
+        seen[hashed] = True
+    return np.flatnonzero(seen)
+
+
 @dataclass
 class Model:
-    """``number`` of each hash among the counted n-grams (-1: none), landmark rows, and weights per language."""
+    """``number`` of each hash among the n-grams of the landmarks (-1: in none), their weights per language."""
 
     languages: list[str]
     number: np.ndarray
-    landmarks: np.ndarray
     weights: np.ndarray
     offset: np.ndarray
 
     def score(self, texts: list[str]) -> np.ndarray:
         """One score per text and language, about -1 to 1."""
-        return kernel_rows(texts, self.number) @ self.landmarks.T @ self.weights + self.offset
+        found = np.zeros((len(texts), len(self.languages)))
+        for row, text in zip(found, texts, strict=True):
+            grams = grams_of(text)
+            gram = self.number[grams]
+            row[:] = self.weights[gram[gram >= 0]].sum(0, dtype=float) / np.sqrt(max(len(grams), 1))
+        return found + self.offset
 
 
 def kernel_rows(texts: list[str], number: np.ndarray) -> np.ndarray:
-    """Presence of the counted n-grams, scaled so that products of rows are normalised kernels."""
+    """Presence of the n-grams with a number, scaled so that products of rows are normalised kernels.
+
+    The kernel written out, for few n-grams; models use :func:`kernels`.
+    """
     rows = np.zeros((len(texts), int(number.max()) + 1), np.float32)
     for text, hashed in gram_hashes(texts):
         gram = number[hashed]
@@ -86,38 +102,54 @@ def kernel_rows(texts: list[str], number: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
 
 
+def kernels(present: list[np.ndarray], landmarks: list[np.ndarray], number: np.ndarray) -> np.ndarray:
+    """Normalised kernels of texts, given by the hashes present, with the landmarks, whose n-grams have numbers."""
+    gram = number[np.concatenate(landmarks)]
+    order = np.argsort(gram, kind="stable")
+    holder = np.repeat(np.arange(len(landmarks)), [len(x) for x in landmarks])[order]  # of each n-gram in turn
+    firsts = np.searchsorted(gram[order], np.arange(int(number.max()) + 2))
+    size = np.sqrt([max(len(x), 1) for x in landmarks])
+    result = np.zeros((len(present), len(landmarks)))
+    for row, found in zip(result, present, strict=True):
+        own = number[found]
+        own = own[own >= 0]
+        for at in range(0, len(own), _GATHER):
+            first = firsts[own[at : at + _GATHER]]
+            length = firsts[own[at : at + _GATHER] + 1] - first
+            places = np.arange(length.sum()) + np.repeat(first - np.cumsum(length) + length, length)
+            row += np.bincount(holder[places], minlength=len(landmarks))
+        row /= size * np.sqrt(max(len(found), 1))
+    return result
+
+
 def fit(languages: list[str], present: list[np.ndarray]) -> Model | None:
     """Fit on the hashes present in each training text, given with its language."""
     names = sorted(set(languages))
     if not names:
         return None
-    spread = np.zeros(1 << HASH_BITS, np.int64)
-    for found in present:
-        spread[found] += 1
-    chosen = np.argsort(-spread, kind="stable")[:GRAMS]
-    chosen = np.sort(chosen[spread[chosen] > 0])
-    if not len(chosen):
-        return None
-    number = np.full(1 << HASH_BITS, -1, np.int16)
-    number[chosen] = np.arange(len(chosen))
-    rows = np.zeros((len(present), len(chosen)), np.float32)
-    for row, found in zip(rows, present, strict=True):
-        gram = number[found]
-        row[gram[gram >= 0]] = 1
-    rows /= np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
     label = np.array([names.index(x) for x in languages])
-    landmarks = rows[np.concatenate([np.flatnonzero(label == j)[:LANDMARKS] for j in range(len(names))])]
+    chosen = np.concatenate([np.flatnonzero(label == j)[:LANDMARKS] for j in range(len(names))])
+    landmarks = [present[i] for i in chosen]
+    counted = np.unique(np.concatenate(landmarks))
+    if not len(counted):
+        return None
+    number = np.full(1 << HASH_BITS, -1, np.int32)
+    number[counted] = np.arange(len(counted))
     # Features: kernels with the landmarks times the inverse root of the landmarks' own kernel matrix.
-    values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(float))
+    kernel = kernels(present, landmarks, number)
+    values, vectors = np.linalg.eigh(kernel[chosen])
     root = vectors / np.sqrt(np.maximum(values, 1e-6 * values.max())) @ vectors.T
-    features = (rows @ landmarks.T).astype(float) @ root
+    features = kernel @ root
     mean = features.mean(0)
     target = np.where(label[:, None] == np.arange(len(names)), 1.0, -1.0)
     # Every language weighs the same, however many texts it has.
     weight = 1 / np.bincount(label)[label]
     center = features - mean
     solved = np.linalg.solve(center.T @ (center * weight[:, None]) + RIDGE * np.eye(len(root)), center.T @ ((target - target.mean(0)) * weight[:, None]))
-    return Model(names, number, landmarks, (root @ solved).astype(np.float32), (target.mean(0) - mean @ solved).astype(np.float32))
+    weights = np.zeros((len(counted), len(names)))
+    for found, own in zip(landmarks, root @ solved, strict=True):
+        weights[number[found]] += own / np.sqrt(max(len(found), 1))
+    return Model(names, number, weights.astype(np.float32), target.mean(0) - mean @ solved)
 
 
 def train(labelled: DataFrame) -> Model | None:
@@ -134,8 +166,7 @@ def train(labelled: DataFrame) -> Model | None:
     def present(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                found = [hashed for _, hashed in gram_hashes([row["text"]])]
-                yield C.record_batch({"lang": [row["lang"]], "doc_id": [row["doc_id"]], "grams": [np.unique(np.concatenate(found or [np.zeros(0, np.int64)])).astype(np.int32).tobytes()]}, fields)
+                yield C.record_batch({"lang": [row["lang"]], "doc_id": [row["doc_id"]], "grams": [grams_of(row["text"]).astype(np.int32).tobytes()]}, fields)
 
     chosen = labelled.join(F.broadcast(sample), ["lang", "doc_id"]).dropDuplicates(["lang", "doc_id"])  # one row per id
     rows = chosen.mapInArrow(present, "lang string, doc_id long, grams binary").collect()

@@ -62,6 +62,40 @@ def test_kernel_is_the_share_of_common_grams():
     assert np.allclose(rows @ rows.T, expected, atol=1e-6)
 
 
+def test_languages_of_five_texts_in_their_own_scripts(spark):
+    rng = random.Random(7)
+    letters = {"a": "abcdefghijklmnopqrstuvwxyzéèüö", "b": "αβγδεζηθικλμνξοπρστυφχψω", "ka": "აბგდევზთიკლმნოპჟრსტ", "hy": "աբգդեզէըթժիլխծկհձղճմ"}
+    # Of the large languages far more than 8,192 n-grams are in more than five texts.
+    words = {lang: ["".join(rng.choice(own) for _ in range(rng.randint(5, 9))) for _ in range(1500)] for lang, own in letters.items()}
+
+    def text(lang):
+        return " ".join(rng.choice(words[lang]) for _ in range(100 if lang in "ab" else 3))
+
+    free = [i for i in range(900) if cases.fold(i, 4) != 2]
+    truth = {i: "ab"[i % 2] for i in free[:600]} | {i: "ka" for i in free[600:605]} | {i: "hy" for i in free[605:610]}
+    asked = {i: ("ka", "hy")[i % 2] for i in range(900, 1200) if cases.fold(i, 4) == 2}
+    rows = [(i, text(lang), lang) for i, lang in truth.items()] + [(i, text(lang), None) for i, lang in asked.items()]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == truth | asked
+
+
+def test_scores_are_kernels_with_all_grams():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdef é") for _ in range(rng.randint(5, 90))) for _ in range(60)]
+    labels = [rng.choice("xyz") for _ in texts]
+    present = [langid.grams_of(t) for t in texts]
+    used = np.unique(np.concatenate(present))
+    number = np.full(1 << langid.HASH_BITS, -1, np.int32)
+    number[used] = np.arange(len(used))
+    rows = langid.kernel_rows(texts, number)
+    assert np.allclose(langid.kernels(present, present[:9], number), rows @ rows[:9].T, atol=1e-6)
+    model = langid.fit(labels, present)
+    weighed = np.zeros((len(used), 3))
+    held = np.flatnonzero(model.number >= 0)
+    weighed[number[held]] = model.weights[model.number[held]]
+    assert np.allclose(model.score(texts), rows @ weighed + model.offset, atol=1e-5)
+
+
 def test_long_texts_in_pieces_equal_whole_ones(monkeypatch):
     number = np.arange(1 << langid.HASH_BITS, dtype=np.int32) % 5000
     texts = ["abc déf" * 50, "x", "", "zyxw" * 33]
