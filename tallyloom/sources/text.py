@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None, line_sep: str | None = None) -> DataFrame:
     """One row per line, column ``line``; gzip is recognised by the file suffix.
 
     A gzip file is read by a single task, so ask for ``partitions`` to spread
-    its lines before doing any work on them.
+    its lines before doing any work on them. Lines end at LF, CR or both, or
+    only at ``line_sep`` if that is given.
     """
-    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    lines = spark.read.text(path, lineSep=line_sep).withColumnRenamed("value", "line")
     return lines.repartition(partitions) if partitions else lines
 
 

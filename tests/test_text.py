@@ -1,8 +1,10 @@
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.texts import file_line_count
 from tallyloom.functions.text import STOPWORDS, content_tokens, normalize_text, split_words, word_tokens
 from tallyloom.plans import similarity, weights, words
 from tallyloom.sources.text import lines_of, read_lines, read_words
@@ -125,3 +127,10 @@ def test_staged_tables_are_released(spark, tmp_path):
         assert stage_table(spark.range(5)).count() == 5
         assert set(os.listdir(folder)) > before
     assert set(os.listdir(folder)) == before
+
+
+def test_lines_with_carriage_returns_are_counted(spark, tmp_path):
+    texts = ["one\r\ntwo\r\n", "one\rtwo\nthree", "one"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.line: r.n for r in file_line_count(spark, str(tmp_path)).collect()}
+    assert got == Counter(line for text in texts for line in text.split("\n"))
