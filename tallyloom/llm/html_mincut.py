@@ -21,7 +21,13 @@ from tallyloom.llm import common as C
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: No text of these is shown as text.
-HIDDEN = {"script", "style", "noscript", "template", "head", "title", "iframe", "object", "svg", "math", "canvas", "audio", "video", "select", "button", "textarea", "datalist", "dialog"}
+HIDDEN = {"script", "style", "noscript", "template", "head", "title", "iframe", "object", "svg", "canvas", "audio", "video", "select", "button", "textarea", "datalist", "dialog"}
+#: What may stand in a head; any other tag, or text, ends one that was never closed.
+HEAD = {"head", "title", "meta", "link", "base", "script", "style", "noscript", "template"}
+#: Those that can hold no block, so a block ends them.
+NO_BLOCKS = {"select", "datalist", "svg"}
+#: Those that hide nothing on a page without any end tag of theirs.
+CLOSED = {"noscript", "object", "button", "dialog", "canvas", "audio", "video", "template"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset",
     "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "html", "li", "main",
@@ -87,8 +93,9 @@ class Node:
 class Blocks(HTMLParser):
     """Text blocks in page order: ``(text, node, characters in links, tag)``."""
 
-    def __init__(self):
+    def __init__(self, shown: set[str] = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.shown = shown
         self.node = Node("", None, {})
         self.hidden: list[str] = []
         self.parts: list[str] = []
@@ -104,17 +111,19 @@ class Blocks(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if self.hidden:
-            if tag == self.hidden[-1] and tag not in VOID:
-                self.hidden.append(tag)
-            elif tag == "body":  # a head that was never closed
+            root = self.hidden[0]
+            if tag == "body" or (self.hidden[-1] == "head" and tag not in HEAD):  # a head that was never closed
+                self.hidden.clear()
+            elif root in NO_BLOCKS and tag in BLOCKS and "foreignobject" not in self.hidden:
                 self.hidden.clear()
             else:
+                # With what is open in it, so that its end tags are told from those of blocks around it.
+                if tag == root or tag in BLOCKS or tag == "foreignobject" or (root == "head" and tag in HIDDEN - self.shown):
+                    self.hidden.append(tag)
                 return
-        if tag in HIDDEN:
+        if tag in HIDDEN - self.shown:
             self.hidden.append(tag)
             return
-        if self.hidden:
-            return
         if tag == "a":
             self.in_link = True
         elif tag == "br":
@@ -146,7 +155,10 @@ class Blocks(HTMLParser):
             if tag in self.hidden:
                 while self.hidden.pop() != tag:
                     pass
-            return
+                return
+            if tag not in BLOCKS or not self.is_open(tag):
+                return
+            self.hidden.clear()  # never closed, but the block around it is
         if tag == "a":
             self.in_link = False
         elif tag in BLOCKS:
@@ -157,7 +169,15 @@ class Blocks(HTMLParser):
             if node is not None and node.parent is not None:
                 self.node = node.parent
 
+    def is_open(self, tag: str) -> bool:
+        node = self.node
+        while node is not None and node.tag != tag:
+            node = node.parent
+        return node is not None
+
     def handle_data(self, data):
+        if self.hidden and self.hidden[-1] == "head" and data.strip():
+            self.hidden.clear()
         if not self.hidden:
             self.parts.append(data)
             if self.in_link:
@@ -165,7 +185,8 @@ class Blocks(HTMLParser):
 
 
 def read_blocks(html: str) -> list[tuple[str, Node, int]]:
-    parser = Blocks()
+    lower = html.lower()
+    parser = Blocks({tag for tag in CLOSED if f"</{tag}" not in lower})
     parser.feed(html)
     parser.close()
     parser.flush()

@@ -312,6 +312,24 @@ def test_broken_pages(html):
     assert isinstance(html_mincut.main_text(html), str)
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<html><head><title>T</title><p>{0}", "<html><head><meta a=b>{0}", "<body><noscript>x<p>{0}", "<body><div><noscript>x</div><p>{0}</p><noscript>y</noscript>",
+        "<body><div><select><option>x</div><p>{0}</p>", "<body><select><option>x<p>{0}</p>", "<body><div><button>x</div><p>{0}</p><button>y</button>",
+        "<body><svg><text>x<p>{0}</p>", "<body><div><object>x</div><p>{0}</p>", "<body><noscript><div>x</div></noscript><p>{0}",
+    ],
+)
+def test_pages_with_unclosed_hidden_elements_keep_their_text(html):
+    long = "This is a paragraph of the text that goes on for quite a while, with several words. " * 3
+    assert long.strip() in html_mincut.main_text(html.format(long))
+
+
+def test_formulas_of_an_article_stay():
+    long = "This is a paragraph that goes on for quite a while, with several words."
+    assert html_mincut.main_text(f"<article><p>{long} <math><mi>x</mi><mo>=</mo><mn>7</mn></math> holds.</p></article>") == f"{long} x=7 holds."
+
+
 def test_a_page_without_article_keeps_its_long_paragraphs():
     long = "This is a paragraph of the text that goes on for quite a while, with several words. " * 2
     page = f"<body><div><a href=x>One</a> <a href=y>Two</a></div><div class=post><p>{long}</p><p>Short.</p><p>{long}</p></div><div class='footer'>{long}</div>"
