@@ -64,15 +64,16 @@ UNIT, SMOOTH = 100, 60
 class Node:
     """An open or closed element: its cues and, for shares, the length of the text below it."""
 
-    __slots__ = ("depth", "hard", "length", "main", "mains", "parent", "soft", "tag")
+    __slots__ = ("cues", "depth", "hard", "inside", "length", "main", "mains", "parent", "soft", "tag")
 
     def __init__(self, tag: str, parent: Node | None, attributes: dict[str, str | None]):
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
-        self.length, self.mains = 0, 0
+        self.length, self.mains, self.cues = 0, False, (False, 0)
         role = (attributes.get("role") or "").lower()
         words = {w.lower() for name in ("class", "id") for w in _WORD.findall(attributes.get(name) or "")}
-        inside = parent is not None and parent.within_main()
+        inside = parent is not None and parent.inside
         self.main = (tag in MAIN_TAGS or role in MAIN_ROLES) and not (tag == "article" and words & NO_ARTICLE)
+        self.inside = self.main or inside
         self.hard = (
             tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not inside) or "hidden" in attributes
             or (attributes.get("aria-hidden") or "").lower() == "true"
@@ -81,14 +82,6 @@ class Node:
         named = 0 if self.main or tag in ("html", "body") else -1 if words & ASIDE_WORDS else 1 if words & MAIN_WORDS else 0
         self.soft = -1 if tag == "form" else named
 
-    def within_main(self) -> bool:
-        node = self
-        while node is not None:
-            if node.main:
-                return True
-            node = node.parent
-        return False
-
 
 class Blocks(HTMLParser):
     """Text blocks in page order: ``(text, node, characters in links, tag)``."""
@@ -199,30 +192,28 @@ def read_blocks(html: str) -> list[tuple[str, Node, int]]:
 def evidence(blocks: list[tuple[str, Node, int]]) -> list[float]:
     """How much speaks for content (above 0) or boilerplate, per block."""
     total = sum(len(text) for text, _, _ in blocks) or 1
+    known: dict[int, Node] = {}
     for text, node, _ in blocks:
-        main = 0
-        while node is not None:
-            node.length += len(text)
-            node.mains |= main
-            main |= node.main or node.tag == "h1"
+        node.length += len(text)
+        while node is not None and id(node) not in known:
+            known[id(node)] = node
             node = node.parent
-    has_main = any(node.within_main() for _, node, _ in blocks)
-    known: dict[int, tuple[bool, int]] = {}
-
-    def cues(node: Node | None) -> tuple[bool, int]:
-        """Whether anything above says boilerplate, and how strongly content is said."""
-        if node is None:
-            return False, 0
-        if id(node) not in known:
-            aside, main = cues(node.parent)
-            # A name on what holds the main element, or most of the page, says nothing about its blocks.
-            named = node.soft < 0 and not node.mains and node.length <= 0.6 * total
-            known[id(node)] = aside or node.hard or named, max(main, 2 if node.main else 1 if node.soft > 0 else 0)
-        return known[id(node)]
+    outer_first = sorted(known.values(), key=lambda node: node.depth)  # no calls per level: pages nest as deep as they like
+    for node in reversed(outer_first):
+        if node.parent is not None:
+            node.parent.length += node.length
+            node.parent.mains |= node.mains or node.main or node.tag == "h1"
+    has_main = any(node.inside for _, node, _ in blocks)
+    for node in outer_first:
+        # Whether anything above says boilerplate, and how strongly content is said.
+        aside, main = node.parent.cues if node.parent is not None else (False, 0)
+        # A name on what holds the main element, or most of the page, says nothing about its blocks.
+        named = node.soft < 0 and not node.mains and node.length <= 0.6 * total
+        node.cues = aside or node.hard or named, max(main, 2 if node.main else 1 if node.soft > 0 else 0)
 
     scores = []
     for text, node, linked in blocks:
-        aside, main = cues(node)
+        aside, main = node.cues
         score = -0.5 + min(len(text) / 80, 2) - (2 if main == 2 else 6) * min(1, linked / len(text))
         score += (node.tag in ("p", "blockquote", "pre")) + (0.5 if node.tag in HEADINGS else 0) + (0.5 if _END.search(text) else 0)
         score -= 1 if len(text) < 25 and not _END.search(text) else 0

@@ -325,6 +325,12 @@ def test_pages_with_unclosed_hidden_elements_keep_their_text(html):
     assert long.strip() in html_mincut.main_text(html.format(long))
 
 
+def test_deeply_nested_pages():
+    long = "This is a paragraph of the text that goes on for quite a while, with several words."
+    assert html_mincut.main_text("<body>" + "<div>" * 5000 + f"<p>{long}") == long
+    assert html_mincut.main_text("<body>" + f"<div><p>{long}</p>" * 5000).count(long) == 5000
+
+
 def test_formulas_of_an_article_stay():
     long = "This is a paragraph that goes on for quite a while, with several words."
     assert html_mincut.main_text(f"<article><p>{long} <math><mi>x</mi><mo>=</mo><mn>7</mn></math> holds.</p></article>") == f"{long} x=7 holds."
