@@ -168,7 +168,7 @@ def chosen_rows(shards: DataFrame, schema: StructType, rows: str) -> DataFrame:
 
 
 def parts_for(shards: DataFrame, part_bytes: int = 2 << 20) -> int:
-    """A number of parts in proportion to the packed bytes; at most 65,536 so that a part fits 16 bits of a hash."""
+    """A number of parts in proportion to the packed bytes; at most 65,536, beyond which parts grow with the input."""
     total = shards.agg(F.sum("n_bytes")).first()[0] or 0
     return int(min(max(4, total // part_bytes), 1 << 16))
 
