@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, fm_index, html_mincut, langid, ngram_join, ppm, quality, redirects, suffix_dedup, superkmers
+from tallyloom.llm import bpe, fm_index, html_mincut, langid, ngram_join, ppm, quality, redirects, suffix_dedup, superkmers, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL with the same rows, for the queries that SQL can express.
@@ -151,3 +151,10 @@ common AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY 1) ON x = d.doc_id
 """
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings along the first 16 components of their distinct grid vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
