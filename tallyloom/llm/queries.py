@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, fm_index, html_mincut, langid, ngram_join, ppm, quality, redirects, suffix_dedup, superkmers, whitening
+from tallyloom.llm import bpe, fm_index, html_mincut, langid, ngram_join, ppm, quality, redirects, simhash, suffix_dedup, superkmers, token_alignment, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL with the same rows, for the queries that SQL can express.
@@ -158,3 +158,16 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings along the first 16 components of their distinct grid vectors."""
     vectors = table(spark, sf_dir, "embeddings")
     return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of the documents by fingerprints of 64 bits, at most four of them different."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over the documents."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.align(table(spark, sf_dir, "documents"), *paths)
