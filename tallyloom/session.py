@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,8 +77,7 @@ def stage_table(df: DataFrame, compression: str = "snappy") -> DataFrame:
     step, and a lost executor costs a re-read rather than a recomputation. The
     table stays until :func:`release_staged`.
     """
-    path = f"{checkpoint_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    _STAGED.append(path)
+    path = own_folder(df.sparkSession, "staged")
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -88,16 +87,33 @@ def staged_tables() -> int:
     return len(_STAGED)
 
 
-def release_staged(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
-    """Delete the tables staged by this process between two marks; DataFrames that read them can't be used any more."""
+def staged_names(since: int = 0) -> list[str]:
+    """The folders staged after a mark, oldest first."""
+    return _STAGED[since:]
+
+
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new name in the shared folder, which is released like a staged table."""
+    path = f"{checkpoint_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
+
+
+def release_tables(spark: SparkSession, names: Iterable[str]) -> None:
+    """Delete staged folders; DataFrames that read them can't be used any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    gone = _STAGED[since:until]
-    del _STAGED[since:until]
-    for name in gone:
+    for name in names:
+        if name in _STAGED:
+            _STAGED.remove(name)
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
 
 
+def release_staged(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Delete the tables staged by this process between two marks; DataFrames that read them can't be used any more."""
+    release_tables(spark, _STAGED[since:until])
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Delete what is staged inside the block at its end; read all results before."""
