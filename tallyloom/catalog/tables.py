@@ -7,17 +7,13 @@ columns instead.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import word_tokens
-from tallyloom.operators.unfolding import unfold
+from tallyloom.operators.passages import containing
 from tallyloom.session import stage_table
 from tallyloom.sources.text import lines_of
 
-#: Tokens of a run, and characters of a short passage, that documents are looked up by.
-_GRAM, _CHARACTERS = 6, 8
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with the files that are there now."""
@@ -112,54 +108,13 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``a_id``, ``b_id`` where the document contains the passage word for word; see :func:`containing`.
+    """``a_id``, ``b_id`` where the document contains the passage word for word.
 
     The pairs stand for a file of known matches, so they are staged as one.
     """
     return stage_table(containing(first_source(spark, sf_dir), second_source(spark, sf_dir)))
 
 
-def containing(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """``a_id``, ``b_id`` of the documents whose text contains the text of a passage; an empty passage is in none.
-
-    A document that contains a passage has the same run of tokens as the passage
-    has between its first and last token, which may be cut in the document.
-    Passages with at most two tokens have no such run; they are looked up by
-    their first characters. Only run lengths that occur among the passages are
-    taken from the documents, and only documents found are compared as text.
-    """
-    tokens = F.col("_tokens")
-    short = -F.least(F.length("text"), F.lit(_CHARACTERS))
-    passages = passages.filter("text <> ''").withColumn("_tokens", word_tokens(F.col("text")))
-    # Tokens in the run, or less than 0: characters.
-    sized = passages.withColumn("_size", F.when(F.size(tokens) > 2, F.least(F.size(tokens) - 2, F.lit(_GRAM))).otherwise(short))
-    run = F.when(F.col("_size") > 0, F.xxhash64(F.slice(tokens, 2, F.greatest("_size", F.lit(0))))).otherwise(F.xxhash64(F.substring("text", F.lit(1), -F.col("_size"))))
-    wanted = sized.select(F.col("id").alias("b_id"), "_size", run.alias("_run"))
-    sizes = sorted(r[0] for r in wanted.select("_size").distinct().collect())  # at most _GRAM + _CHARACTERS numbers
-
-    def runs(size: int) -> Column:
-        if size > 0:
-            starts = F.sequence(F.lit(1), F.size(tokens) - (size - 1))
-            found = F.when(F.size(tokens) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, size))))
-        else:
-            starts = F.sequence(F.lit(1), F.length("text") + size + 1)
-            found = F.when(F.length("text") >= -size, F.transform(starts, lambda i: F.xxhash64(F.substring("text", i, F.lit(-size)))))
-        return F.transform(F.array_distinct(F.coalesce(found, F.array())), lambda r: F.struct(F.lit(size).alias("size"), r.alias("run")))
-
-    if not sizes:
-        return wanted.select(F.lit("").alias("a_id"), "b_id").limit(0)
-    tokenised = docs.filter(F.col("text").isNotNull()).withColumn("_tokens", word_tokens(F.col("text")))
-    every = F.concat(*[runs(size) for size in sizes])
-    rows = unfold(tokenised, every, "_found", F.col("id").alias("a_id"))
-    found = rows.select("a_id", F.col("_found.size").alias("_size"), F.col("_found.run").alias("_run")).join(wanted, ["_size", "_run"]).select("a_id", "b_id").distinct()
-    return (
-        found.join(docs.select(F.col("id").alias("a_id"), F.col("text").alias("_a")), "a_id")
-        .join(passages.select(F.col("id").alias("b_id"), F.col("text").alias("_b")), "b_id")
-        .filter(F.contains(F.col("_a"), F.col("_b")))
-        .select("a_id", "b_id")
-    )
-
-
 def gold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold mapping lines with a header; one line per passage is no pair."""
     pair = F.concat(F.lit('"'), F.col("a_id"), F.lit('","'), F.col("b_id"), F.lit('"'))
