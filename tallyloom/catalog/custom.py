@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.tables import table
 from tallyloom.operators.counting import grouped_lists
-from tallyloom.operators.custom import NumbersBelow, map_partitions, map_partitions_with_index, reduce_by_key, row_function
+from tallyloom.operators.custom import map_partitions, map_partitions_with_index, numbers_below, reduce_by_key, row_function, running_sums
 
 
 @query("udf_row_function", "SELECT p_partkey, p_name || 's' AS plural FROM part")
@@ -28,8 +28,22 @@ def udaf_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("udtf_range", "SELECT p_partkey, unnest(range(1, p_size)) AS y FROM part")
 def udtf_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").alias("size"))
-    return sizes.lateralJoin(NumbersBelow(F.col("size").outer())).select("p_partkey", "y")
+    return numbers_below(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_size", "y").select("p_partkey", "y")
+
+
+@query(
+    "udtf_partitioned",
+    """
+    SELECT o_custkey, o_orderkey, row_number() OVER w AS number, CAST(sum(cents) OVER w AS BIGINT) AS running
+    FROM (SELECT o_custkey, o_orderkey, o_orderdate, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+    """,
+)
+def udtf_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of each customer in turn, with what they have spent so far."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", cents)
+    return running_sums(orders, "cents", ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "number", "running")
 
 
 @query("map_partitions_partial", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
