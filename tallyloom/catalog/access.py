@@ -10,6 +10,8 @@ from tallyloom.catalog.tables import access_log_lines
 from tallyloom.operators.counting import count_by, count_rows, integer_stats
 from tallyloom.operators.ranking import top_by
 from tallyloom.plans import access
+from tallyloom.session import own_folder, stage_table
+from tallyloom.sinks.versions import read_table, write_table
 from tallyloom.sources.access_log import REPAIRED_PATTERN, STRICT_PATTERN, access_records, parse_access_log
 from tallyloom.sources.quality import FAILED, log_quality, status_sample
 
@@ -111,6 +113,26 @@ def content_size_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integer_stats(logs(spark, sf_dir), "content_size")
 
 
+@query(
+    "written_records",
+    LOG
+    + """
+    SELECT event_id, host, date_time, endpoint, CAST(response_code AS INTEGER) AS response_code, content_size,
+           CAST(day(date_time) AS INTEGER) AS day
+    FROM log
+    """,
+)
+def written_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as read back from a table that was written in two batches, one of them twice."""
+    records = stage_table(
+        logs(spark, sf_dir).select("event_id", "host", "date_time", "endpoint", "response_code", "content_size", F.dayofmonth("date_time").alias("day"))
+    )
+    path, early = own_folder(spark, "records"), F.col("day") <= 15
+    for batch, part in (("early", early), ("late", ~early), ("early", early)):
+        write_table(records.filter(part), path, ["day"], batch)
+    return read_table(spark, path)
+
+
 @query("response_code_counts", LOG + "SELECT response_code, count(*) AS n FROM log GROUP BY 1")
 def response_code_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(logs(spark, sf_dir), "response_code")

@@ -11,7 +11,7 @@ from tallyloom.catalog.tables import item_lines, items, rating_lines, ratings
 from tallyloom.operators.counting import count_by
 from tallyloom.operators.ranking import top_by
 from tallyloom.operators.sampling import split_rows, with_split
-from tallyloom.plans import factors
+from tallyloom.plans import factors, wide_factors
 from tallyloom.plans import ratings as rated
 from tallyloom.session import stage_table
 from tallyloom.sources.ratings import parse_items, parse_ratings
@@ -199,6 +199,52 @@ def als_model_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.join(residuals, ["side", "id"], "left").select("side", "id", "n_factors", (F.col("residual") < _SOLVED).alias("solved"))
 
 
+#: Makes ids that need more than 32 bits.
+WIDE = 1 << 33
+
+
+@query(
+    "als_wide_ids",
+    KNOWN
+    + f"""
+    SELECT 'user' AS side, user_id * {WIDE} AS id, {factors.RANKS[0]} AS n_factors, TRUE AS solved FROM users
+    UNION ALL SELECT 'item', item_id * {WIDE}, {factors.RANKS[0]}, NULL FROM rated
+    """,
+)
+def als_wide_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``als_model_factors``, for ids of more than 32 bits."""
+    train, _, _ = _parts(spark, sf_dir)
+    wide = stage_table(train.select((F.col("user_id") * WIDE).alias("user_id"), (F.col("item_id") * WIDE).alias("item_id"), "rating"))
+    return _solved(wide_factors.train_dense(wide, factors.RANKS[0]), wide, _SOLVED)
+
+
+@query(
+    "als_in_parts",
+    KNOWN
+    + f"""
+    SELECT 'user' AS side, user_id * {WIDE} AS id, {factors.RANKS[0]} AS n_factors, TRUE AS solved FROM users
+    UNION ALL SELECT 'item', item_id * {WIDE}, {factors.RANKS[0]}, NULL FROM rated
+    UNION ALL SELECT 'item', -1, {factors.RANKS[0]}, NULL FROM (SELECT 1 FROM train WHERE (user_id + item_id) % 2 = 0 LIMIT 1)
+    """,
+)
+def als_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factors from equations that are summed in parts; one more item has about a third of all ratings."""
+    train, _, _ = _parts(spark, sf_dir)
+    hot = train.filter((F.col("user_id") + F.col("item_id")) % 2 == 0)
+    wide = train.select((F.col("user_id") * WIDE).alias("user_id"), (F.col("item_id") * WIDE).alias("item_id"), "rating").unionByName(
+        hot.select((F.col("user_id") * WIDE).alias("user_id"), F.lit(-1).cast("long").alias("item_id"), "rating")
+    )
+    return _solved(wide_factors.train_in_parts(wide, factors.RANKS[0]), wide, 1e-9)
+
+
+def _solved(tables: wide_factors.FactorTables, ratings: DataFrame, least: float) -> DataFrame:
+    """All users and items with their number of factors, and whether a user's factors solve that user's equation."""
+    users = tables.users.join(wide_factors.user_residuals(tables, ratings).withColumnRenamed("user_id", "id"), "id", "left")
+    sides = [users.select(F.lit("user").alias("side"), "id", F.size("features").alias("n_factors"), (F.col("residual") < least).alias("solved"))]
+    sides.append(tables.items.select(F.lit("item").alias("side"), "id", F.size("features").alias("n_factors"), F.lit(None).cast("boolean").alias("solved")))
+    return sides[0].unionByName(sides[1])
+
+
 @query(
     "als_predictions",
     KNOWN
