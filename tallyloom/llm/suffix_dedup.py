@@ -95,10 +95,14 @@ def _digest(*parts: bytes) -> int:
 
 
 def _entries(shard: C.Shard, at: np.ndarray, grams: np.ndarray, length: int) -> dict:
-    """The distinct (gram, piece) of the given anchors, and which of them each anchor has."""
+    """The distinct (gram, piece, place of the gram in the piece) of the given anchors, and which of them each anchor has.
+
+    In a short periodic text several anchors have one and the same range as their piece, at different places in it:
+    two anchors with equal pieces are two places only if the gram is at the same place in both.
+    """
     start, end = _pieces(shard, at, length)
     raw = shard.buffer.tobytes()
-    piece = np.array([_digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.uint64)
+    piece = np.array([_digest(raw[a:b], (i - a).to_bytes(4, "little")) for a, b, i in zip(start.tolist(), end.tolist(), at.tolist(), strict=True)], np.uint64)
     pairs = np.stack([grams, piece], 1)
     _, first, entry, count = np.unique(pairs, axis=0, return_index=True, return_inverse=True, return_counts=True)
     entry = entry.ravel()

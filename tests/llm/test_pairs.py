@@ -143,6 +143,21 @@ def test_repeated_bytes_equal_all_strings(docs, rows, monkeypatch, length, crowd
     assert Counter(tuple(r) for r in got.collect()) == expected
 
 
+def test_short_periodic_texts_are_no_copies_of_themselves(spark):
+    """Texts of one period, of 400 to 800 bytes, alone and in pairs that share some windows only."""
+    rng = random.Random(12)
+    texts = []
+    for n in (400, 401, 402, 414, 444, 459, 505, 640, 767, 799, 800):
+        for period in (1, 3, 7, 60, 123, 397, 399):
+            motif = cases.sentence(rng, 400, ["Of", "a", "zu"])[:period]
+            texts += [(motif * 900)[:n], "start of text %d " % n + (motif * 900)[: n - rng.randrange(40)]]
+    rng.shuffle(texts)
+    for chosen in (texts[:40], texts[40:41], texts[41:]):
+        gone = cases.repeated_bytes(chosen, 400)
+        found = suffix_dedup.without_repeats(spark.createDataFrame(list(enumerate(chosen)), "doc_id long, text string"))
+        assert {r.doc_id: r.n_removed for r in found.collect()} == {i: sum(g) for i, g in enumerate(gone)}
+
+
 def test_repeated_bytes_of_nothing(nothing):
     assert suffix_dedup.without_repeats(nothing).count() == 0
 
