@@ -196,7 +196,7 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _similar(spark: SparkSession, sf_dir: str, least: float) -> DataFrame:
     a_docs, b_docs = _sources(spark, sf_dir)
-    return similarity.similar_pairs(a_docs, b_docs, _idf(spark, sf_dir), least)
+    return similarity.similar_pairs(a_docs, b_docs, min_similarity=least)
 
 
 @query("text_copies", CORPUS + f"SELECT side AS source, id, first_id, copies FROM ({COPIES})")

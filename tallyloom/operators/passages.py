@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +39,18 @@ def window(k: int) -> int:
     return k if k == 1 else k + 1
 
 
-@lru_cache
-def _codes() -> np.ndarray:
+def _byte_codes() -> np.ndarray:
     codes = np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE)
     codes ^= codes >> np.uint64(29)
     return codes * np.uint64(0xBF58476D1CE4E5B9) | np.uint64(1)
 
 
+_CODES = _byte_codes()
+
+
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """A hash of every string of k bytes; k is a power of 2."""
-    hashes, span = _codes()[data], 1
+    hashes, span = _CODES[data], 1
     while span < k:
         hashes = hashes[:-span] * np.uint64(pow(_BASE, span, 1 << 64)) + hashes[span:]
         span *= 2

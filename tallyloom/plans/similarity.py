@@ -10,16 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import STOPWORDS
-from tallyloom.operators.matching import block_pairs
-from tallyloom.plans.weights import document_weights, norms, unit_weights
+from tallyloom.operators.matching import block_pairs, bounded_pairs
+from tallyloom.plans.weights import document_weights, norms, term_frequency, unit_weights, weigh
 from tallyloom.session import stage_table
 
 # Room for rounding when a bound is compared with the wanted similarity.
 _ROUNDING = 1e-9
+# The same for the root of a difference of squares.
+_ROOT_ROUNDING = 1e-7
 
 
 def _side(weights: DataFrame, side: str) -> DataFrame:
@@ -167,37 +169,69 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return docs.join(first, "id").select("id", "copies", "text")
 
 
-def _indexed(docs: DataFrame, idf: DataFrame, stopwords: Sequence[str]) -> DataFrame:
-    """Unit weights of the distinct texts, each with its ``reach``.
+def _indexed(weights: DataFrame, others: DataFrame, least: float) -> DataFrame:
+    """Postings of one side: unit weights of the tokens that the other side has too, each with its ``reach``.
 
-    A document's tokens are taken from the most common to the rarest, in the same
-    order for all documents. The reach of a token is the length of the vector of
-    all tokens up to it. If a token is the rarest one that two documents share,
-    their similarity is at most the product of its reaches in both.
+    A document's tokens are taken from the most common to the rarest, in the same order for all documents. The reach of
+    a token is the length of the vector of all tokens up to it that the other side has; only these can add to a
+    similarity. If a token is the rarest one that two documents share, their similarity is at most the product of its reaches
+    in both. Weights are unit weights by the length of the whole vector. Documents whose shared tokens together
+    don't reach ``least`` are left out before anything is sorted.
     """
-    texts = distinct_texts(docs).select(F.struct("id", "copies").alias("id"), "text")
-    weights = document_weights(texts, idf, stopwords)
+    known = others.select("token", F.lit(True).alias("_shared")).distinct()
+    marked = weights.join(known, "token", "left")
+    square = F.col("weight") * F.col("weight")
+    lengths = marked.groupBy("id").agg(F.sum(square).alias("_whole"), F.sum(F.when(F.col("_shared"), square)).alias("_part"))
+    far = lengths.filter(F.col("_part") >= F.col("_whole") * (least * least)).select("id", F.sqrt("_whole").alias("_length"))
+    unit = marked.filter("_shared").join(far, "id").select("id", "token", "idf", (F.col("weight") / F.col("_length")).alias("weight"))
     from_common = Window.partitionBy("id").orderBy("idf", "token")
     upto = from_common.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = from_common.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    square = F.col("weight") * F.col("weight")
-    return weights.select(
-        "id",
-        "token",
-        (F.col("weight") / F.sqrt(F.sum(square).over(whole))).alias("weight"),
-        F.sqrt(F.sum(square).over(upto) / F.sum(square).over(whole)).alias("reach"),
-    )
+    return unit.select("id", "token", "weight", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(upto)).alias("reach"))
+
+
+def _postings(index: DataFrame, side: str, least: float) -> DataFrame:
+    far = index.filter(F.col("reach") >= least)
+    return far.select("token", F.col("id").alias(f"{side}_id"), F.col("weight").alias(f"_{side}_weight"), F.col("reach").alias(f"_{side}_reach"))
+
+
+def _before(side: str) -> Column:
+    """The square of the reach of all tokens before this one."""
+    reach, weight = F.col(f"_{side}_reach"), F.col(f"_{side}_weight")
+    return F.greatest(reach * reach - weight * weight, F.lit(0.0))
 
 
-def _postings(index: DataFrame, side: str, min_reach: float) -> DataFrame:
-    far = index.filter(F.col("reach") >= min_reach)
-    return far.select("token", F.col("id").alias(f"{side}_id"), F.col("reach").alias(f"_{side}_reach"))
+def candidate_pairs(a_index: DataFrame, b_index: DataFrame, least: float) -> DataFrame:
+    """``a_id``, ``b_id`` of all pairs that may be as similar as ``least``.
+
+    Ranges of a token's postings whose largest reaches don't multiply to ``least`` never meet. For the postings that do,
+    the token's own share of the similarity is known and only the rest is bounded by the reaches.
+    """
+    sharing = bounded_pairs(_postings(a_index, "a", least), _postings(b_index, "b", least), "token", "a_id", "b_id", "_a_reach", "_b_reach", least)
+    most = F.col("_a_weight") * F.col("_b_weight") + F.sqrt(_before("a") * _before("b"))
+    return sharing.filter(most >= least - _ROOT_ROUNDING).select("a_id", "b_id").distinct()
+
+
+def similarity_index(
+    a_docs: DataFrame, b_docs: DataFrame, idf: DataFrame | None, least: float, stopwords: Sequence[str] = STOPWORDS
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides' postings of the distinct texts, for :func:`candidate_pairs`; an id is a struct of the id and its copies. Staged.
+
+    Texts are split once. Without ``idf`` the two sources are the corpus, and a text counts for all its copies.
+    """
+    named = [distinct_texts(docs).select(F.struct("id", "copies").alias("id"), "text") for docs in (a_docs, b_docs)]
+    frequencies = [stage_table(term_frequency(docs, stopwords)) for docs in named]
+    if idf is None:
+        documents = a_docs.select("id").unionByName(b_docs.select("id")).agg(F.count_distinct("id")).scalar()
+        holders = frequencies[0].unionByName(frequencies[1]).groupBy("token").agg(F.sum("id.copies").alias("n"))
+        idf = stage_table(holders.select("token", (documents / F.col("n")).alias("idf")))
+    a_weights, b_weights = (weigh(tf, idf) for tf in frequencies)
+    return stage_table(_indexed(a_weights, frequencies[1], least)), stage_table(_indexed(b_weights, frequencies[0], least))
 
 
 def similar_pairs(
     a_docs: DataFrame,
     b_docs: DataFrame,
-    idf: DataFrame,
+    idf: DataFrame | None = None,
     min_similarity: float = 0.1,
     stopwords: Sequence[str] = STOPWORDS,
 ) -> DataFrame:
@@ -208,15 +242,13 @@ def similar_pairs(
     of each. Weights are computed once per text and staged, and so are the candidates. Candidates are pairs with a common token of sufficient reach on both
     sides, which every similar pair has; tokens found in most documents rarely
     reach far enough to be looked up. Each candidate is scored with all tokens.
+    Without ``idf`` the two sources are the corpus.
     """
     if min_similarity <= 0:
         raise ValueError("min_similarity must be positive")
     least = min_similarity - _ROUNDING
-    a_index = stage_table(_indexed(a_docs, idf, stopwords))
-    b_index = stage_table(_indexed(b_docs, idf, stopwords))
-    sharing = block_pairs(_postings(a_index, "a", least), _postings(b_index, "b", least), "token", "a_id", "b_id")
-    reaching = sharing.filter(F.col("_a_reach") * F.col("_b_reach") >= least)
-    candidates = stage_table(reaching.select("a_id", "b_id").distinct())
+    a_index, b_index = similarity_index(a_docs, b_docs, idf, least, stopwords)
+    candidates = stage_table(candidate_pairs(a_index, b_index, least))
     return (
         _shared_dots(candidates, a_index, b_index)
         .filter(F.col("dot") >= min_similarity)

@@ -62,11 +62,12 @@ def document_weights(docs: DataFrame, idf: DataFrame, stopwords: Sequence[str] =
 
     Tokens missing from ``idf`` are dropped, so the corpus must contain the documents.
     """
-    return (
-        term_frequency(docs, stopwords)
-        .join(idf, "token")
-        .select("id", "token", "idf", (F.col("tf") * F.col("idf")).alias("weight"))
-    )
+    return weigh(term_frequency(docs, stopwords), idf)
+
+
+def weigh(frequencies: DataFrame, idf: DataFrame) -> DataFrame:
+    """The weights of term frequencies that are there already."""
+    return frequencies.join(idf, "token").select("id", "token", "idf", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
 def norms(weights: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -15,7 +16,7 @@ from tallyloom.operators.counting import (
 )
 from tallyloom.operators.custom import map_partitions_with_index, reduce_by_key, row_function
 from tallyloom.operators.indexing import with_global_index
-from tallyloom.operators.matching import block_pairs, difference, pair_space, without
+from tallyloom.operators.matching import block_pairs, bounded_pairs, difference, pair_space, without
 from tallyloom.operators.ranking import largest, rating_title_order, smallest, top_by
 from tallyloom.operators.sampling import sample_rows, sample_with_replacement, split_rows
 from tallyloom.operators.unfolding import unfold
@@ -119,6 +120,18 @@ def test_block_pairs_equal_the_join(spark):
     assert found == Counter((r.a, r.b) for r in left.join(right, "k").collect())
 
 
+@pytest.mark.parametrize(("least", "block"), [(0.5, 3), (0.05, 2000), (1e-9, 7)])
+def test_bounded_pairs_equal_the_filtered_join(spark, least, block):
+    rng = random.Random(int(least * 100))
+    sides = []
+    for side, n in (("l", 200), ("r", 120)):
+        rows = [(rng.choice([0, 0, 0, 1, 2, 3, None]), i, rng.choice([1.0, 0.5, 1e-6, rng.random() + 1e-9])) for i in range(n)]
+        sides.append(spark.createDataFrame(rows, f"k int, {side}_id int, {side}_bound double"))
+    found = bounded_pairs(*sides, "k", "l_id", "r_id", "l_bound", "r_bound", least, block)
+    wanted = sides[0].join(sides[1], "k").filter(F.col("l_bound") * F.col("r_bound") >= least)
+    assert sorted(map(tuple, found.select(*wanted.columns).collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_samples(spark):
     df = spark.range(5000).withColumnRenamed("id", "key")
     first = sorted(r.key for r in sample_rows(df, "key", 100, 1).collect())

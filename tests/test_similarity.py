@@ -59,17 +59,29 @@ def test_similar_pairs_are_exactly_those_above_the_bound(sources, expected, leas
             texts.setdefault((side is a, text), []).append(i)
     members = {min(ids, key=lambda i: int("".join(filter(str.isdigit, i)) or 0)): ids for ids in texts.values()}
     found = {}
+    own = {(r.a_id, r.b_id): r.similarity for r in similarity.similar_pairs(a_df, b_df, None, least).collect()}
     for row in similarity.similar_pairs(a_df, b_df, idf, least).collect():
+        assert abs(own.pop((row.a_id, row.b_id)) - row.similarity) < 1e-9
         assert (row.a_copies, row.b_copies) == (len(members[row.a_id]), len(members[row.b_id]))
         for x in members[row.a_id]:
             for y in members[row.b_id]:
                 assert (x, y) not in found
                 found[x, y] = row.similarity
     wanted = {pair for pair, score in expected.items() if score >= least}
-    assert set(found) == wanted
+    assert set(found) == wanted and not own
     assert all(abs(score - expected[pair]) < 1e-9 for pair, score in found.items())
 
 
+def test_candidates_are_few(sources, expected):
+    """Bounds by shared tokens: few candidates that are not similar, and none missing."""
+    _, _, a_df, b_df, idf = sources
+    for least in (0.3, 0.6):
+        index = similarity.similarity_index(a_df, b_df, idf, least)
+        found = {(r.a_id.id, r.b_id.id) for r in similarity.candidate_pairs(*index, least).collect()}
+        similar = {(r.a_id, r.b_id) for r in similarity.similar_pairs(a_df, b_df, idf, least).collect()}
+        assert similar <= found and len(found) <= 3 * len(similar)
+
+
 def test_bound_must_be_positive(sources):
     _, _, a_df, b_df, idf = sources
     with pytest.raises(ValueError):
