@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.registry import query
+from tallyloom.catalog.registry import SQL, query
 from tallyloom.catalog.tables import access_log_lines
 from tallyloom.operators.counting import count_by, count_rows, integer_stats
 from tallyloom.operators.ranking import top_by
 from tallyloom.plans import access
+from tallyloom.plans.access_summary import AccessSummary
 from tallyloom.session import own_folder, stage_table
 from tallyloom.sinks.versions import read_table, write_table
 from tallyloom.sources.access_log import REPAIRED_PATTERN, STRICT_PATTERN, access_records, parse_access_log
-from tallyloom.sources.quality import FAILED, log_quality, status_sample
+from tallyloom.sources.quality import FAILED, kept_with_quality, log_quality, status_sample
 
 # The same records from the columns of the events, without any parsing.
 RECORDS = """
@@ -255,3 +256,72 @@ def top_404_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def hourly_404(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access.hourly_not_found(logs(spark, sf_dir))
+
+
+def _report_row(name: str, key: str, n: str, value: str = "CAST(NULL AS DOUBLE)") -> str:
+    return f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS key, CAST({n} AS BIGINT) AS n, {value} AS value FROM ({SQL[name]})"
+
+
+_KEYED = {
+    "response_code_counts": "response_code", "frequent_hosts": "host", "any_n_hosts": "host", "endpoint_counts": "endpoint", "top_endpoints": "endpoint",
+    "top_error_endpoints": "endpoint", "top_404_endpoints": "endpoint", "top_404_hosts": "host", "daily_404": "day", "top_404_days": "day", "hourly_404": "hour",
+}
+
+
+@query(
+    "access_report",
+    " UNION ALL ".join(
+        [_report_row(name, key, "n") for name, key in _KEYED.items()]
+        + [_report_row("content_size_stats", f"'{part}'", part) for part in ("average", "minimum", "maximum")]
+        + [_report_row("parse_quality", f"'{part}'", part) for part in ("lines", "parsed", "failed")]
+        + [
+            _report_row("response_code_share", "response_code", "NULL", "share"),
+            _report_row("unique_hosts", "NULL", "hosts"),
+            _report_row("daily_unique_hosts", "day", "hosts"),
+            _report_row("daily_requests_per_host", "day", "requests_per_host"),
+            _report_row("not_found_count", "NULL", "n"),
+            _report_row("distinct_404_endpoints", "endpoint", "NULL"),
+        ]
+    ),
+)
+def access_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports of the log as rows of one table, from one pass over its lines."""
+    summary = AccessSummary(access_log_lines(spark, sf_dir).select("line"))
+    stats, quality = summary.content_size_stats(), summary.quality()
+    found = {
+        "response_code_counts": summary.response_code_counts(), "frequent_hosts": summary.frequent_hosts(),
+        "any_n_hosts": summary.frequent_hosts().orderBy("host").limit(20), "endpoint_counts": summary.endpoint_counts(),
+        "top_endpoints": summary.top_endpoints(), "top_error_endpoints": summary.top_error_endpoints(),
+        "top_404_endpoints": summary.top_not_found_endpoints(), "top_404_hosts": summary.top_not_found_hosts(),
+        "daily_404": summary.daily_not_found(), "top_404_days": summary.top_not_found_days(), "hourly_404": summary.hourly_not_found(),
+        "unique_hosts": summary.unique_hosts(), "daily_unique_hosts": summary.daily_unique_hosts(),
+        "daily_requests_per_host": summary.daily_requests_per_host(), "not_found_count": summary.not_found_count(),
+        "distinct_404_endpoints": summary.not_found_endpoints(),
+        "content_size_stats": stats.unpivot([], stats.columns, "key", "n"), "parse_quality": quality.unpivot([], quality.columns, "key", "n"),
+        "response_code_share": summary.response_code_share().select("response_code", F.round("share", 6).alias("share")),
+    }
+    counts = ("n", "hosts", "requests_per_host")
+    rows = None
+    for name, df in found.items():
+        key = next((c for c in df.columns if c not in (*counts, "share")), None)
+        n = next((c for c in df.columns if c in counts), None)
+        part = df.select(
+            F.lit(name).alias("report"), (F.col(key) if key else F.lit(None)).cast("string").alias("key"),
+            (F.col(n) if n else F.lit(None)).cast("long").alias("n"), (F.col("share") if "share" in df.columns else F.lit(None)).cast("double").alias("value"),
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query(
+    "parse_with_quality",
+    """
+    SELECT count(*) AS lines, count(*) FILTER (WHERE event_id % 97 <> 0) AS parsed,
+           count(*) FILTER (WHERE event_id % 97 = 0) AS failed, count(*) FILTER (WHERE event_id % 97 <> 0) AS kept
+    FROM events
+    """,
+)
+def parse_with_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load quality that came with the records in one pass, next to the number of records kept."""
+    records, report = kept_with_quality(parse_access_log(access_log_lines(spark, sf_dir)))
+    return report.withColumn("kept", records.agg(F.count("*")).scalar())
