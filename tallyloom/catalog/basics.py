@@ -259,6 +259,7 @@ def cross_pairs_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SAMPLE_SIZE, SAMPLE_SEED = 60, 500
+LARGE_SAMPLE = 9_001
 
 
 @query(
@@ -273,6 +274,19 @@ def sample_without_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(events, "event_id", SAMPLE_SIZE, SAMPLE_SEED)
 
 
+@query(
+    "sample_large",
+    f"""
+    SELECT o_orderkey, o_custkey FROM orders
+    ORDER BY md5('{SAMPLE_SEED}:' || o_orderkey), o_orderkey LIMIT {LARGE_SAMPLE}
+    """,
+)
+def sample_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample whose end is found by counting hashes rather than by sorting."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return sample_rows(orders, "o_orderkey", LARGE_SAMPLE, SAMPLE_SEED, merged=0)
+
+
 @query(
     "sample_with_replacement",
     f"""

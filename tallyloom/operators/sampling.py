@@ -10,16 +10,45 @@ from pyspark.sql import functions as F
 from tallyloom.functions.numbers import hash_bucket, hash_long, hash_text
 
 
-def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+_HASH_BITS = 60
+#: Rows that the tasks' own best ones are merged for; larger samples are bounded first.
+_MERGED = 100_000
+#: Bits of a hash by which it is counted in each of two rounds: at most 2^16 counts reach the driver per round.
+_SKETCH_BITS = 16
+
+
+def sample_rows(df: DataFrame, key: str, n: int, seed: int, merged: int = _MERGED) -> DataFrame:
     """Exactly ``n`` rows (or all) without replacement: those with the smallest key hashes.
 
-    ``key`` must identify a row. The result does not depend on the partitions.
+    ``key`` must identify a row and not be null. The result does not depend on the partitions. Up to ``merged`` rows are the smallest ones
+    of every task, merged. For larger samples nothing is sorted as a whole: two rounds of counts by the leading bits
+    of the hashes find the range of hashes, about one in 2^32 of all, in which the sample ends. All rows below
+    it are taken as they are, and only the rows inside it are sorted.
     """
-    return df.orderBy(hash_text(F.col(key), seed), F.col(key)).limit(n)
+    order = [hash_text(F.col(key), seed), F.col(key)]
+    if n <= merged:
+        return df.orderBy(*order).limit(n)
+    hashed = df.withColumn("_hash", hash_long(F.col(key), seed))
+    below, left, shift = 0, n, _HASH_BITS
+    for _ in range(2):
+        # ``left`` rows are wanted from hashes of at least ``below``; the range that the last of them is in comes next.
+        inside = hashed if shift == _HASH_BITS else hashed.filter((F.col("_hash") >= below) & (F.col("_hash") < below + (1 << shift)))
+        shift -= _SKETCH_BITS
+        counts = inside.groupBy(F.shiftright("_hash", shift).alias("range")).agg(F.count("*").alias("n")).collect()
+        for place, rows in sorted(map(tuple, counts)):
+            if rows >= left:
+                below = place << shift
+                break
+            left -= rows
+        else:  # no more rows than wanted
+            return df
+    whole = hashed.filter(F.col("_hash") < below).select(*df.columns)
+    last = hashed.filter((F.col("_hash") >= below) & (F.col("_hash") < below + (1 << shift)))
+    return whole.unionByName(last.orderBy(*order).limit(left).select(*df.columns))
 
 
 #: Bits of a key's hash that choose its coarse bucket, and rows wanted in a fine one.
-_HASH_BITS, _COARSE_BITS, _FINE_ROWS = 60, 12, 1000
+_COARSE_BITS, _FINE_ROWS = 12, 1000
 
 
 def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:

@@ -149,6 +149,21 @@ def test_samples(spark):
     assert sample_with_replacement(df.filter("key < 0"), "key", 10, 3).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 999, 4999, 5000, 6000])
+def test_large_samples_are_the_smallest_hashes(spark, n):
+    df = spark.range(5000).repartition(6)
+    direct = {r.id for r in sample_rows(df, "id", n, 4, merged=10_000).collect()}
+    bounded = [r.id for r in sample_rows(df, "id", n, 4, merged=0).collect()]
+    assert set(bounded) == direct and len(bounded) == min(n, 5000)
+
+
+def test_a_large_sample_sorts_nothing_as_a_whole(spark):
+    plan = sample_rows(spark.range(3_000_000), "id", 1_000_000, 1)
+    assert plan.count() == 1_000_000
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in text and "TakeOrderedAndProject" in text
+
+
 def test_split_is_disjoint_and_complete(spark):
     df = spark.range(20000).select((F.col("id") % 150).alias("u"), F.col("id").alias("i"))
     parts = [{(r.u, r.i) for r in part.collect()} for part in split_rows(df, ["u", "i"], [6, 2, 2], 0)]
