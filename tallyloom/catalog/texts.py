@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +12,8 @@ from tallyloom.functions.text import STOPWORDS, content_tokens, normalize_text,
 from tallyloom.operators.counting import count_by, count_rows, distinct_count, histogram
 from tallyloom.operators.ranking import smallest
 from tallyloom.operators.unfolding import unfold
-from tallyloom.plans import weights, words
-from tallyloom.session import checkpoint_folder
+from tallyloom.plans import growing_corpus, weights, words
+from tallyloom.session import own_folder
 from tallyloom.sources.text import read_lines, read_words
 
 NORMALIZED = r"trim(lower(regexp_replace(line, '[^A-Za-z0-9 ]', '', 'g')))"
@@ -167,6 +165,16 @@ def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.inverse_document_frequency(corpus(spark, sf_dir)).withColumn("idf", F.round("idf", 6))
 
 
+@query("idf_appended", CORPUS + "SELECT token, round(idf, 6) AS idf FROM idf")
+def idf_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from sums that were kept while the corpus grew: documents first, passages in files added later."""
+    source, store = own_folder(spark, "corpus"), own_folder(spark, "sums")
+    for part in (first_source(spark, sf_dir), second_source(spark, sf_dir)):
+        part.write.mode("append").parquet(source)
+        growing_corpus.update(spark, store, source)
+    return growing_corpus.idf(spark, store).withColumn("idf", F.round("idf", 6))
+
+
 @query("vocabulary_size", CORPUS + "SELECT count(*) AS n FROM idf")
 def vocabulary_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_rows(weights.inverse_document_frequency(corpus(spark, sf_dir)))
@@ -200,13 +208,13 @@ def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _as_file(df: DataFrame, name: str, **options: str) -> str:
-    """Write one text column to the shared folder and return the path."""
-    path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Write one text column to the shared folder, until staged tables are released, and return the path."""
+    path = own_folder(df.sparkSession, name)
     df.write.text(path, **options)
     return path
 
 
-@query("file_line_count", f"SELECT line, count(*) AS n FROM ({LINES}) WHERE NOT contains(line, chr(13)) GROUP BY 1")
+@query("file_line_count", f"SELECT line, count(*) AS n FROM ({LINES}) GROUP BY 1")
 def file_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the documents, written as gzip text files and read back; lines may hold carriage returns."""
     lines = text_lines(spark, sf_dir).select("line")
