@@ -19,18 +19,27 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
 
 
-def host_of(url: Column) -> Column:
-    return F.coalesce(F.translate(F.regexp_extract(_rest(url), r"^([^/?#]*)", 1), _UPPER, _LOWER), F.lit(""))
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` with one more column. It is exploded from an array of one, so expressions on it don't repeat what it is made of."""
+    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
 
 
-def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
+def with_address(df: DataFrame, url: str, name: str) -> DataFrame:
+    """``df`` with a struct of the parts of an address: ``site`` as written, ``host`` (A-Z lower-cased), ``path`` and ``node``.
 
-
-def node_of(url: Column) -> Column:
-    """One name for the forms of an address that reach the same page: host, path and query; null without a host."""
-    query = F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1)
-    return F.when(host_of(url) != "", F.concat(host_of(url), F.when(path_of(url) == "", "/").otherwise(path_of(url)), query))
+    The node is one name for the forms of an address that reach the same page: host, path and query; null without a host.
+    """
+    rest = _once(df, _rest(F.col(url)), "_rest")
+    parts = F.struct(
+        F.coalesce(F.regexp_extract("_rest", r"^([^/?#]*)", 1), F.lit("")).alias("site"),
+        F.coalesce(F.regexp_extract("_rest", r"^[^/?#]*([^?#]*)", 1), F.lit("")).alias("path"),
+        F.coalesce(F.regexp_extract("_rest", r"^[^?#]*(\?[^#]*)", 1), F.lit("")).alias("query"),
+        F.translate(F.coalesce(F.regexp_extract("_rest", r"^([^/?#]*)", 1), F.lit("")), _UPPER, _LOWER).alias("host"),
+    )
+    cut = _once(rest, parts, "_parts").drop("_rest")
+    path = F.when(F.col("_parts.path") == "", "/").otherwise(F.col("_parts.path"))
+    node = F.when(F.col("_parts.host") != "", F.concat("_parts.host", path, "_parts.query"))
+    return cut.withColumn(name, F.struct("_parts.site", "_parts.host", "_parts.path", node.alias("node"))).drop("_parts")
 
 
 def rules_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
@@ -62,23 +71,26 @@ def decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Redirect and canonical-link edges ``a, b`` between addresses that ``pages`` (``url, html``) state themselves."""
+    """Redirect and canonical-link edges ``url, to, a, b`` between addresses that ``pages`` (``url, html``) state themselves.
+
+    All canonical links and refresh redirects of a page count.
+    """
     html = F.col("html")
-    stated = pages.filter(F.col("html").rlike(r"(?i)canonical|http-equiv")).select(
-        "url", F.explode(F.array(F.regexp_extract(html, _CANONICAL, 1), F.regexp_extract(html, _REFRESH, 1))).alias("target")
+    stated = pages.filter(html.rlike(r"(?i)canonical|http-equiv")).select(
+        "url", F.explode(F.concat(F.regexp_extract_all(html, F.lit(_CANONICAL), F.lit(1)), F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(1)))).alias("target")
     )
+    stated = with_address(stated.filter("target <> ''").distinct(), "url", "from")
     target = F.regexp_replace("target", "&amp;", "&")
     scheme = F.regexp_extract("url", r"^([^:/?#]*:)", 1)
-    base = F.regexp_extract(_rest(F.col("url")), r"^([^/?#]*)", 1)
-    folder = F.regexp_extract(path_of(F.col("url")), r"^(.*/)", 1)
+    folder = F.regexp_extract("from.path", r"^(.*/)", 1)
     absolute = (
         F.when(F.contains(target, F.lit("://")), target)
         .when(F.startswith(target, F.lit("//")), F.concat(scheme, target))
-        .when(F.startswith(target, F.lit("/")), F.concat(scheme, F.lit("//"), base, target))
-        .otherwise(F.concat(scheme, F.lit("//"), base, F.when(folder == "", "/").otherwise(folder), target))
+        .when(F.startswith(target, F.lit("/")), F.concat(scheme, F.lit("//"), F.col("from.site"), target))
+        .otherwise(F.concat(scheme, F.lit("//"), F.col("from.site"), F.when(folder == "", "/").otherwise(folder), target))
     )
-    links = stated.filter("target <> ''").select(F.col("url"), absolute.alias("to"))
-    return links.select("url", "to", node_of(F.col("url")).alias("a"), node_of(F.col("to")).alias("b")).filter("a <> b")
+    links = with_address(_once(stated.select("url", "target", "from"), absolute, "to"), "to", "there")
+    return links.select("url", "to", F.col("from.node").alias("a"), F.col("there.node").alias("b")).filter("a <> b")
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
@@ -91,17 +103,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None
     """
     edges = page_links(pages)
     if redirects is not None:
-        more = redirects.select("url", "to", node_of(F.col("url")).alias("a"), node_of(F.col("to")).alias("b"))
-        edges = edges.unionByName(more.filter("a <> b"))
+        more = with_address(with_address(redirects.select("url", "to"), "url", "from"), "to", "there")
+        edges = edges.unionByName(more.select("url", "to", F.col("from.node").alias("a"), F.col("there.node").alias("b")).filter("a <> b"))
     edges = staged(edges.distinct())
     ends = edges.select(F.col("url"), F.col("a").alias("node")).unionByName(edges.select(F.col("to").alias("url"), F.col("b").alias("node"))).distinct()
-    judged = decide(ends.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))), rules)
+    judged = decide(with_address(ends, "url", "at").select("node", "at.host", "at.path"), rules)
     groups = staged(connected_components(edges.select("a", "b")))
     blocked = judged.filter("action = 'block'").select("node").distinct().join(groups, "node").select("component").distinct()
     aliases = groups.join(blocked, "component").select("node", F.lit(True).alias("alias"))
 
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
-    placed = own.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("node"))
+    placed = with_address(own, "url", "at").select("page_id", "at.host", "at.path", "at.node")
     found = decide(placed, rules).join(aliases, "node", "left")
     verdict = F.coalesce("action", F.when(F.col("alias"), "block"), F.lit("allow"))
     return found.select("page_id", "host", "path", "rule", verdict.alias("verdict"))

@@ -377,6 +377,14 @@ def test_given_pages_give_their_articles(spark):
         assert r.text == "\n\n".join(p for p in parts if p)
 
 
+def test_texts_are_measured_in_slices_of_bytes():
+    import pyarrow as pa
+
+    texts = pa.array(["a" * 5, None, "", "b" * 9, "c" * 30, "d", "é" * 4, "e"])
+    assert list(quality._slices(texts, 10)) == [(0, 3), (3, 4), (4, 5), (5, 8)]
+    assert list(quality._slices(texts, 1000)) == [(0, 8)] and list(quality._slices(texts.slice(0, 0))) == []
+
+
 # URLs
 
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"), ("same.org/x", "block"), ("same.org/x", "allow")]
@@ -414,6 +422,19 @@ def test_blocks_reach_aliases(spark):
     assert {i: v[3] for i, v in got.items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow", 8: "allow", 9: "allow"}
 
 
+def test_every_link_of_a_page_counts(spark):
+    """Also the second canonical link, the second redirect and a repeated one; all code compiles."""
+    links = '<link rel=canonical href="http://x.com/1"><link rel="canonical" href=http://x.com/1><link rel=canonical href="http://bad.net/9">'
+    turns = '<meta http-equiv=refresh content="1; url=http://y.com/"><META content="0;URL=/moved" HTTP-EQUIV="refresh">'
+    rows = [(1, "http://p.com/a", links), (2, "http://x.com/1", ""), (3, "http://q.com/b", turns), (4, "http://q.com/moved", '<link rel=canonical href="http://bad.net/7">'), (5, "http://y.com/", "")]
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        got = verdicts(spark, rows)
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    assert {i: v[3] for i, v in got.items()} == dict.fromkeys(range(1, 6), "block")
+
+
 def test_urls_of_nothing(spark):
     assert verdicts(spark, []) == {}
 
