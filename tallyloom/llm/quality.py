@@ -9,6 +9,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ ROUNDS, DEPTH, RATE, BINS, RIDGE = 60, 3, 0.2, 64, 5.0
 #: A document goes if the trees give it less than this probability of good quality.
 KEEP_FROM = 0.25
 WINDOW = 5
+#: Bytes of text measured at a time.
+SLICE_BYTES = 2 << 20
 
 SYMBOLS = b"#*$%&|<>"
 FEATURES = (
@@ -200,9 +204,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
 
     def measure(batches):
         for batch in batches:
-            if batch.num_rows:
-                found = statistics(C.loose_shard([x and x.encode() for x in batch.column(0).to_pylist()]))["features"]
-                yield C.record_batch(dict(zip(FEATURES, found.T, strict=True)) | {"good": np.array(batch.column(1).to_pylist(), float)}, fields)
+            for start, end in _slices(batch.column(0)):
+                part = batch.slice(start, end - start)
+                found = statistics(C.loose_shard([x and x.encode() for x in part.column(0).to_pylist()]))["features"]
+                yield C.record_batch(dict(zip(FEATURES, found.T, strict=True)) | {"good": np.array(part.column(1).to_pylist(), float)}, fields)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     once = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # however often an id is repeated
@@ -216,6 +221,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
     return fit(data[:, :-1], good, signs)
 
 
+def _slices(texts, limit: int = SLICE_BYTES):
+    """Starts and ends of runs of texts that together have about ``limit`` bytes; a longer text is a run of its own."""
+    start = size = 0
+    for i, length in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > start and size + length > limit:
+            yield start, i
+            start, size = i, 0
+        size += length
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def _judge(texts: list[str | None], trees: Trees | None) -> dict[str, np.ndarray]:
     found = statistics(C.loose_shard([x and x.encode() for x in texts]))
     features = found.pop("features")
@@ -236,8 +253,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                yield C.record_batch({"doc_id": batch.column(0)} | _judge(batch.column(1).to_pylist(), sent.value), fields)
+            for start, end in _slices(batch.column(1)):
+                part = batch.slice(start, end - start)
+                yield C.record_batch({"doc_id": part.column(0)} | _judge(part.column(1).to_pylist(), sent.value), fields)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
@@ -248,10 +266,9 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(_judge(batch.column(place).to_pylist(), sent.value)["kept"]))
+            for start, end in _slices(batch.column(place)):
+                part = batch.slice(start, end - start)
+                yield part.filter(pa.array(_judge(part.column(place).to_pylist(), sent.value)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)
