@@ -306,6 +306,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, make: Callab
         if ids:
             yield encoded(ids, texts)
         tokenizer.forget()  # an idle worker holds no more than the table
+        C.give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 

@@ -12,6 +12,7 @@ of all documents is one entry per shard, not one per document.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 from collections.abc import Callable, Iterator
@@ -65,6 +66,15 @@ def limit_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the system: workers are reused, and the next task may be of another kind."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only the GNU library has it
+        pass
+
+
 # Shards -------------------------------------------------------------------------------------------------------------
 
 
@@ -102,6 +112,7 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
         held.append(table.slice(start))
     if rows:
         yield flush()
+    give_back()
 
 
 def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, carry: bool = False) -> DataFrame:
@@ -141,6 +152,7 @@ def whole_rows(shards: DataFrame, schema: StructType, texts: Callable[..., list[
                     columns[names.index("n_chars")] = pa.chunked_array([pa.array([len(n) for n in new], pa.int64())])
                 arrays = [c.combine_chunks().cast(f.type) for c, f in zip(columns, fields, strict=True)]
                 yield pa.record_batch([a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays], schema=fields)
+        give_back()
 
     return shards.select("shard", "payload", *extra).mapInArrow(run, schema)
 
@@ -163,6 +175,7 @@ def chosen_rows(shards: DataFrame, schema: StructType, rows: str) -> DataFrame:
                 columns[fields.names.index("text")] = _texts(texts, columns[fields.names.index("text")])
                 arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
                 yield pa.record_batch([a.cast(f.type) for a, f in zip(arrays, fields, strict=True)], schema=fields)
+        give_back()
 
     return shards.select("shard", "payload", rows).mapInArrow(run, schema)
 
@@ -227,6 +240,7 @@ def map_shards(shards: DataFrame, make: Callable[[Shard], Iterator[dict]], schem
                 row = {name: batch.column(names.index(name))[i].as_py() for name in ("shard", "payload", *extra)}
                 for columns in make(unpack(row["shard"], row["payload"]), *(row[name] for name in extra)):
                     yield record_batch(columns, fields)
+        give_back()
 
     return shards.select("shard", "payload", *extra).mapInArrow(run, schema)
 

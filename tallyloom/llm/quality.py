@@ -270,5 +270,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             for start, end in _slices(batch.column(place)):
                 part = batch.slice(start, end - start)
                 yield part.filter(pa.array(_judge(part.column(place).to_pylist(), sent.value)["kept"]))
+        C.give_back()
 
     return docs.mapInArrow(run, docs.schema)
