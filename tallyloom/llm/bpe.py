@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from tallyloom.llm import common as C
 
 #: Pre-tokens remembered by a Python worker before it starts anew.
-MEMO = 1_000_000
+MEMO = 400_000
 #: Longer pre-tokens, in bytes, have a queue of their own.
 SHORT = 128
 #: Bytes of text encoded at a time.
-GROUP = 8 << 20
+GROUP = 4 << 20
 
 
 class RankQueue:
