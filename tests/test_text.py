@@ -95,6 +95,20 @@ def test_term_frequency(spark):
     assert {r.id: r.n_tokens for r in weights.token_totals(docs).collect()} == {"x": 3, "y": 0}
 
 
+def test_parts_of_texts_grow_with_their_bytes(spark):
+    def texts(n):
+        return spark.range(n).select(F.concat(F.lit("d"), "id").alias("id"), F.repeat(F.lit("word "), 200_000).alias("text"))
+
+    def tasks(n):
+        found = weights.term_frequency(texts(n))
+        assert found.count() == n
+        return found.rdd.getNumPartitions()
+
+    assert tasks(1) == 1
+    assert tasks(100) >= 11 and tasks(200) >= 23
+    assert weights.text_parts(texts(3).select("id", F.lit(None).cast("string").alias("text"))) == 1
+
+
 def test_inverse_document_frequency_has_no_logarithm(spark):
     docs = spark.createDataFrame([("x", "cat cat dog"), ("y", "cat"), ("z", "")], "id string, text string")
     idf = {r.token: r.idf for r in weights.inverse_document_frequency(docs).collect()}
