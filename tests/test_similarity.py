@@ -96,6 +96,14 @@ def test_totals_need_no_pairs(sources, expected):
     assert abs(total.similarity_mean - sum(expected.values()) / len(expected)) < 1e-12
 
 
+@pytest.mark.parametrize("frequent", [1, 7, 1000])
+def test_totals_with_few_and_many_broadcast_tokens(sources, expected, frequent):
+    _, _, a_df, b_df, idf = sources
+    total = similarity.all_pairs_total(a_df, b_df, idf, frequent=frequent).first()
+    assert total.pairs == len(expected)
+    assert abs(total.similarity_sum - sum(expected.values())) < 1e-9
+
+
 def test_evaluation(spark, sources, expected):
     _, _, a_df, b_df, idf = sources
     gold = [pair for pair in expected if pair[0][1:] == pair[1][1:] and pair[0][1:] != "e"]
