@@ -104,9 +104,9 @@ def test_parts_of_texts_grow_with_their_bytes(spark):
         assert found.count() == n
         return found.rdd.getNumPartitions()
 
-    assert tasks(1) == 1
+    assert tasks(1) == 2
     assert tasks(100) >= 11 and tasks(200) >= 23
-    assert weights.text_parts(texts(3).select("id", F.lit(None).cast("string").alias("text"))) == 1
+    assert weights.text_parts(texts(3).select("id", F.lit(None).cast("string").alias("text"))) == 2
 
 
 def test_inverse_document_frequency_has_no_logarithm(spark):
