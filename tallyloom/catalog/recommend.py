@@ -38,9 +38,9 @@ RATINGS = """
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Training, validation and test ratings, staged because every model reads them again."""
-    staged = stage_table(ratings(spark, sf_dir))
-    return split_rows(staged, ["user_id", "item_id"], SPLIT_WEIGHTS, SPLIT_SEED)
+    """Training, validation and test ratings, staged with their part: every model reads them again, and the part is a hash per row."""
+    staged = stage_table(with_split(ratings(spark, sf_dir), ["user_id", "item_id"], SPLIT_WEIGHTS, SPLIT_SEED))
+    return [staged.filter(F.col("part") == index).drop("part") for index in range(len(SPLIT_WEIGHTS))]
 
 
 @query(

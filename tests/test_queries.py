@@ -4,6 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from tallyloom.catalog.tables import ratings
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -91,3 +92,11 @@ def test_copies_are_grouped_by_hash(spark):
 
     plan = representatives(first_source(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_parts_of_ratings_are_hashed_once(spark):
+    from tallyloom.catalog.recommend import _parts
+
+    parts = _parts(spark, SF_DIR)
+    assert all("md5(" not in part._jdf.queryExecution().executedPlan().toString() for part in parts)
+    assert sorted(tuple(row) for part in parts for row in part.collect()) == sorted(tuple(row) for row in ratings(spark, SF_DIR).collect())
