@@ -145,7 +145,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     smallest id that links reach; null if all those ids are null. Rows with equal ids are separate documents.
     ``ref`` numbers the rows of this call. Shingles are held as 64-bit hashes.
     """
-    member = _members(C.shards_of(docs), words, percent)
+    member = _members(*C.bucketed_shards(docs), words, percent)
     least = member.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     return member.join(least, "group").select("doc_id", "n_shingles", "component_id", "ref", "copies_of")
 
@@ -155,14 +155,15 @@ def first_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> D
 
     A row without an id stays only if no row of its group has one. Documents without words are groups of their own.
     """
-    shards = C.shards_of(docs, carry=True)
-    member = _members(shards, words, percent)
+    shards, buckets = C.bucketed_shards(docs, carry=True)
+    member = _members(shards, buckets, words, percent)
     first = member.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ref")).alias("first"))
-    rows = first.select(F.col("first.ref").alias("ref")).groupBy(F.shiftright("ref", 20).alias("shard")).agg(F.collect_list(F.col("ref").bitwiseAND(_DOCS)).alias("rows"))
+    places = first.select(F.shiftright("first.ref", 20).alias("shard"), F.col("first.ref").bitwiseAND(_DOCS).alias("row"))
+    rows = C.to_buckets(places, buckets, F.collect_list("row").alias("rows"))
     return C.chosen_rows(shards.join(rows, "shard"), docs.schema, "rows")
 
 
-def _members(shards: DataFrame, words: int, percent: int) -> DataFrame:
+def _members(shards: DataFrame, buckets: int, words: int, percent: int) -> DataFrame:
     """``ref, doc_id, n_shingles, copies_of, group`` of every document of the shards, staged."""
     mark = staged_tables()
     parts = C.parts_for(shards)
@@ -182,14 +183,15 @@ def _members(shards: DataFrame, words: int, percent: int) -> DataFrame:
     # Equal sets: the first row stands for all.
     distinct = rows.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("ref").alias("first"))
     distinct = C.staged(distinct)
-    chosen = distinct.groupBy(F.shiftright("first", 20).alias("shard")).agg(F.sort_array(F.collect_list(F.col("first").bitwiseAND(_DOCS))).alias("chosen"))
+    firsts = distinct.select(F.shiftright("first", 20).alias("shard"), F.col("first").bitwiseAND(_DOCS).alias("row"))
+    chosen = C.to_buckets(firsts, buckets, F.sort_array(F.collect_list("row")).alias("chosen"))
     picked = shards.join(chosen, "shard")
 
     def shared_keys(shard, chosen):
         sets = shingle_sets(shard, words)
         return C.distinct_with_twice(np.concatenate([sets[i] for i in chosen]))
 
-    flags = C.shared_flags(picked, shared_keys, parts, "chosen")
+    flags = C.shared_flags(picked, shared_keys, parts, "chosen", buckets=buckets)
 
     def survivors(shard, chosen, answers):
         sets = shingle_sets(shard, words)

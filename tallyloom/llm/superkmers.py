@@ -112,9 +112,9 @@ def _answer(k: int):
 
 def _judged(docs: DataFrame, k: int, m: int, carry: bool):
     """The shards with what is known of their windows, and a function that tells the words to remove from it."""
-    shards = C.shards_of(docs, carry=carry)
+    shards, buckets = C.bucketed_shards(docs, carry=carry)
     parts = C.parts_for(shards)
-    flags = C.staged(C.shared_flags(shards, lambda shard: C.distinct_with_twice(_scan(shard, k, m).key), parts))
+    flags = C.staged(C.shared_flags(shards, lambda shard: C.distinct_with_twice(_scan(shard, k, m).key), parts, buckets=buckets))
 
     def read(shard, answers):
         scan = _scan(shard, k, m)
@@ -139,7 +139,7 @@ def _judged(docs: DataFrame, k: int, m: int, carry: bool):
     schema = "part long, shard long, lengths binary, low binary, high binary, ids binary, docs binary, starts binary"
     sent = C.map_shards(flagged, send, schema, "answers")
     answers = sent.groupBy("part").applyInArrow(_answer(k), "part long, shard long, bits binary")
-    repeats = C.staged(answers.groupBy("shard").agg(F.collect_list(F.struct("part", "bits")).alias("repeats")))
+    repeats = C.staged(C.to_buckets(answers, buckets, F.collect_list(F.struct("part", "bits")).alias("repeats")))
 
     def repeated(shard, answers, repeats) -> tuple[SimpleNamespace, np.ndarray]:
         scan, sent, known = read(shard, answers)

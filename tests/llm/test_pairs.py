@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import common as C
 from tallyloom.llm import fm_index, ngram_join, suffix_dedup, superkmers
 from tallyloom.llm.components import connected_components
+from tallyloom.session import release_staged, staged_tables
 
 
 def test_words_are_those_of_the_pattern():
@@ -40,6 +41,25 @@ def test_shards_hold_whole_rows(docs, rows):
     assert Counter(found) == Counter((r[0], (r[1] or "").encode()) for r in rows)
 
 
+@pytest.mark.parametrize("operator", [superkmers.remove_repeats, ngram_join.first_of_each_group])
+def test_staged_texts_stay_where_they_are(spark, docs, operator, monkeypatch):
+    """What is known of the shards is shuffled to them, never the shards; nothing stays in the catalog."""
+    plans, before, staged, threshold = [], staged_tables(), C.staged, "spark.sql.autoBroadcastJoinThreshold"
+    explained = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    monkeypatch.setattr(C, "staged", lambda df: (plans.append(df._jdf.queryExecution().explainString(explained)), staged(df))[1])
+    monkeypatch.setattr(C, "BUCKET_BYTES", 10000)
+    least = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        plans.append(operator(docs)._jdf.queryExecution().explainString(explained))
+    finally:
+        spark.conf.set(threshold, least)
+    assert any("payload" in plan for plan in plans)
+    assert not [plan for plan in plans if re.search(r"\) Exchange\nInput[^\n]*payload", plan)]
+    release_staged(spark, before)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_components_of_random_graphs(spark, seed):
     rng = random.Random(seed)
