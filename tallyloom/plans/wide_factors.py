@@ -1,23 +1,26 @@
 """Factor models for ids of any size and for items that very many rows rate.
 
 Spark's own training takes 32-bit ids and keeps all ratings of one item in one block. :func:`train_dense` gives it dense
-numbers instead of ids and puts the ids back. :func:`train_in_parts` doesn't use it: each task adds up its part of the
-normal equations of every user or item it sees, so an item with a third of all ratings is one small sum per task.
+numbers instead of ids and puts the ids back. :func:`train_in_parts` doesn't use it: ratings stay in blocks, factors are sent
+to them, and an item with a third of all ratings is cut into parts whose sums are added up.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.indexing import with_global_index
 from tallyloom.plans import factors
-from tallyloom.session import release_tables, stage_table, staged_names, staged_tables
+from tallyloom.session import release_tables, stage_buckets, stage_table, staged_names, staged_tables
 
 _LARGEST = (1 << 31) - 1
 
@@ -68,31 +71,221 @@ def initial_features(rank: int, seed: int = factors.SEED) -> Column:
     return F.array(*[F.try_divide(p, length) for p in parts])
 
 
-def _solver(rank: int, regularization: float):
-    """Solves one equation per row: upper triangle of the matrix, right side and number of ratings."""
+def _solve(sums: np.ndarray, rank: int, regularization: float) -> np.ndarray:
+    """Solutions of one equation per row: number of ratings, right side and upper triangle of the matrix."""
     upper = np.triu_indices(rank)
+    matrix = np.zeros((len(sums), rank, rank))
+    matrix[:, upper[0], upper[1]] = matrix[:, upper[1], upper[0]] = sums[:, 1 + rank :]
+    matrix[:, range(rank), range(rank)] += regularization * sums[:, :1]
+    return np.linalg.solve(matrix, sums[:, 1 : 1 + rank, None])[:, :, 0]
+
+
+#: Ratings of a block (about), the least number of blocks, and parts for heavy ids, per block.
+_BLOCK_RATINGS, _LEAST_BLOCKS, _PARTS = 1 << 23, 16, 4
+#: Counts by hash, among which the heavy ids are looked for.
+_HASHES = 1 << 16
+#: Ratings that a task packs together, numbers in a row of factors, and ratings whose products are in memory at once.
+_PACKED, _ROW, _SLICE = 1 << 18, 1 << 18, 1 << 20
+#: Iterations after which the factors are staged, so that plans stay short.
+_STAGE_EVERY = 5
+_RATINGS = "block int, split boolean, own binary, other binary, to binary, rating binary"
+_FACTORS = "block int, kind int, ids binary, values binary"
+#: Kinds of rows: factors, and those for the result, which are passed on; one more for sums of ids in parts instead of factors.
+_SENT, _USERS, _ITEMS = 0, 2, 4
+
+
+def _to_bytes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second bytes and so on: sorted ids and small numbers compress well like this."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_bytes(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+    """The values of all rows of a binary column, one after the other."""
+    size = np.dtype(kind).itemsize
+    found = [np.frombuffer(row.as_buffer(), np.uint8).reshape(size, -1).T.copy().view(kind).ravel() for row in column]
+    return np.concatenate(found) if found else np.empty(0, kind)
+
+
+def _heavy(ratings: DataFrame, column: str, limit: int) -> DataFrame:
+    """The ids with more ratings than ``limit`` and the parts that these are cut into.
+
+    Ids are counted together by hash first, so the counts of most ids are never moved. Fewer than ``ratings / limit`` hashes have more.
+    """
+    hashed = ratings.select(column, F.pmod(F.xxhash64(column), F.lit(_HASHES)).alias("_hash"))
+    crowded = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select("_hash")
+    counts = hashed.join(F.broadcast(crowded), "_hash", "left_semi").groupBy(column).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
+    return stage_table(counts.select(column, (F.floor(F.col("_n") / limit) + 1).alias(f"_{column}_parts")))
+
+
+def _block(own: str, other: str, blocks: int) -> Column:
+    """The block that holds a rating for its ``own`` id: all ratings of an id are in one, those of a heavy id in one per part."""
+    part = F.coalesce(F.pmod(F.xxhash64(F.lit(1), F.col(other)), F.col(f"_{own}_parts")), F.lit(0))
+    return F.pmod(F.pmod(F.xxhash64(own), F.lit(blocks)) + part, F.lit(blocks)).cast("int")
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for the ratings that a task has of a block."""
 
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block, split, *rest = [column.to_numpy() for column in pa.Table.from_batches(held).columns]
+        place = block.astype(np.int64) * 2 + split
+        order = np.lexsort((rest[0], place))
+        cuts = np.flatnonzero(np.diff(place[order])) + 1
+        groups = np.split(order, cuts)
+        first = [group[0] for group in groups]
+        columns = [pa.array([_to_bytes(values[group]) for group in groups], pa.binary()) for values in rest]
+        return pa.record_batch([pa.array(block[first]), pa.array(split[first]), *columns], names=["block", "split", "own", "other", "to", "rating"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held, rows = [*held, batch], rows + batch.num_rows
+        if rows >= _PACKED:
+            yield packed(held)
+            held, rows = [], 0
+    if rows:
+        yield packed(held)
+
+
+def place_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The ratings in blocks by user and in blocks by item, where they stay, and the number of blocks.
+
+    A rating also has the other side's block that needs the factors of its ``own`` id. Of a heavy id no block has much more than others.
+    """
+    total = ratings.count()
+    blocks = max(_LEAST_BLOCKS, -(-total // _BLOCK_RATINGS))
+    limit = max(1, int(total / (_PARTS * blocks)))
+    placed = ratings
+    for name in ("user_id", "item_id"):
+        placed = placed.join(F.broadcast(_heavy(ratings, name, limit)), name, "left")
+    sides = []
+    for own, other in (("user_id", "item_id"), ("item_id", "user_id")):
+        split = F.col(f"_{own}_parts").isNotNull()
+        side = placed.select(_block(own, other, blocks).alias("block"), split.alias("split"), own, other, _block(other, own, blocks).alias("to"), "rating")
+        # Buckets are dealt by a hash of the block: with several to a block, few hold two blocks.
+        sides.append(stage_buckets(side.mapInArrow(_pack, _RATINGS), "block", 4 * blocks, "zstd"))
+    return sides[0], sides[1], blocks
+
+
+def _wanted(at: np.ndarray, to: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The blocks that need something of these ids (places below ``size``) and of which ids, each once."""
+    pairs = np.unique(to.astype(np.int64) * size + at)
+    block, place = np.divmod(pairs, max(size, 1))
+    cuts = np.flatnonzero(np.diff(block)) + 1
+    for group in np.split(np.arange(len(pairs)), cuts):
+        if len(group):
+            yield int(block[group[0]]), place[group]
+
+
+def _first_ids(table: pa.Table) -> pa.Table:
+    """The ids of a block's ratings, once for each block that needs their factors."""
+    ids, at = np.unique(_from_bytes(table["own"], np.int64), return_inverse=True)
+    found = [(np.full(len(place), block, np.int32), ids[place]) for block, place in _wanted(at, _from_bytes(table["to"], np.int32), len(ids))]
+    blocks, ids = (np.concatenate(column) for column in zip(*found)) if found else (np.empty(0, np.int32), ids)
+    return pa.table({"block": blocks, "id": ids})
+
+
+def _factor_rows(block: int, kind: int, ids: np.ndarray, values: np.ndarray) -> list[tuple]:
+    step = max(1, _ROW // values.shape[1])
+    return [(block, kind, _to_bytes(ids[k : k + step]), _to_bytes(values[k : k + step])) for k in range(0, len(ids), step)]
+
+
+def _factor_batch(rows: list[tuple]) -> pa.Table:
+    columns = {"block": pa.int32(), "kind": pa.int32(), "ids": pa.binary(), "values": pa.binary()}
+    return pa.table({name: pa.array([row[k] for row in rows], data) for k, (name, data) in enumerate(columns.items())})
+
+
+def _pack_factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``block``, ``id`` and ``features`` as factors for blocks."""
+    for batch in batches:
+        block, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        values = batch.column(2).flatten().to_numpy().reshape(len(ids), -1)
+        rows = [row for k in np.unique(block) for row in _factor_rows(int(k), _SENT, ids[block == k], values[block == k])]
+        yield from _factor_batch(rows).to_batches()
+
+
+def _received(given: pa.Table, rank: int, regularization: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids and their factors; the sums of ids in parts are added up and solved."""
+    whole, parts = (given.filter(pc.equal(given["kind"], kind)) for kind in (_SENT, _SENT + 1))
+    ids, values = _from_bytes(whole["ids"], np.int64), _from_bytes(whole["values"], np.float64).reshape(-1, rank)
+    if parts.num_rows:
+        heavy, at = np.unique(_from_bytes(parts["ids"], np.int64), return_inverse=True)
+        sums = np.zeros((len(heavy), 1 + rank + rank * (rank + 1) // 2))
+        np.add.at(sums, at, _from_bytes(parts["values"], np.float64).reshape(-1, sums.shape[1]))
+        ids, values = np.concatenate([ids, heavy]), np.concatenate([values, _solve(sums, rank, regularization)])
+    order = np.argsort(ids, kind="stable")
+    return ids[order], values[order]
+
+
+def _add_up(at: np.ndarray, size: int, where: np.ndarray, vectors: np.ndarray, rating: np.ndarray) -> np.ndarray:
+    """Number of ratings, right side and upper triangle of the matrix of each id; ``where`` is a rating's place in ``vectors``."""
+    rank = vectors.shape[1]
+    sums = np.zeros((size, 1 + rank + rank * (rank + 1) // 2))
+    for k in range(0, len(at), _SLICE):
+        own, x, y = at[k : k + _SLICE], vectors[where[k : k + _SLICE]].T, rating[k : k + _SLICE]
+        products = [None, *[x[i] * y for i in range(rank)], *[x[i] * x[j] for i, j in zip(*np.triu_indices(rank))]]
+        for column, weights in enumerate(products):
+            sums[:, column] += np.bincount(own, weights, size)
+    return sums
+
+
+def _half_step(rank: int, regularization: float, blocks: int, sent: bool, result: int | None):
+    """From a block's ratings and the other side's factors, the factors of its own ids: ``sent`` to all blocks that need them,
+    each once, and as a kind of ``result``. For ids in parts it is the part's sums, which go to every block."""
+
+    def run(ratings: pa.Table, given: pa.Table) -> pa.Table:
+        known, vectors = _received(given, rank, regularization)
+        rows = [tuple(row.values()) for row in given.filter(pc.greater_equal(given["kind"], _USERS)).to_pylist()]
+        for split in (False, True):
+            mine = ratings.filter(pc.equal(ratings["split"], split))
+            ids, at = np.unique(_from_bytes(mine["own"], np.int64), return_inverse=True)
+            if not len(ids):
+                continue
+            where = np.searchsorted(known, _from_bytes(mine["other"], np.int64))
+            values = _add_up(at, len(ids), where, vectors, _from_bytes(mine["rating"], np.float64))
+            if not split:
+                values = _solve(values, rank, regularization)
+            if result is not None:
+                rows += _factor_rows(mine["block"][0].as_py(), result + split, ids, values)
+            if sent and split:
+                rows += [row for block in range(blocks) for row in _factor_rows(block, _SENT + 1, ids, values)]
+            elif sent:
+                for block, place in _wanted(at, _from_bytes(mine["to"], np.int32), len(ids)):
+                    rows += _factor_rows(block, _SENT, ids[place], values[place])
+        return _factor_batch(rows)
+
+    return run
+
+
+def _unpack(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = np.stack([batch.column(k).to_numpy() for k in range(2, batch.num_columns)], axis=1)
-            matrix = np.zeros((len(sums), rank, rank))
-            matrix[:, upper[0], upper[1]] = matrix[:, upper[1], upper[0]] = sums[:, rank:]
-            matrix[:, range(rank), range(rank)] += regularization * batch.column(1).to_numpy()[:, None]
-            found = np.linalg.solve(matrix, sums[:, :rank, None])[:, :, 0]
-            features = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * rank, found.ravel())
-            yield pa.record_batch([batch.column(0), features], names=["id", "features"])
+            ids, values = _from_bytes(batch.column(0), np.int64), _from_bytes(batch.column(1), np.float64)
+            yield _features(ids, values.reshape(-1, width))
 
     return run
 
 
-def solve_side(ratings: DataFrame, own: str, other: str, known: DataFrame, rank: int, regularization: float) -> DataFrame:
-    """Features of every ``own`` id of the ratings that minimise the regularised squared error, given those of the ``other`` side."""
-    vectors = known.select(F.col("id").alias(other), *[F.col("features")[k].alias(f"_f{k}") for k in range(rank)])
-    joined = ratings.join(vectors, other)
-    right = [F.sum(F.col(f"_f{i}") * F.col("rating")).alias(f"_r{i}") for i in range(rank)]
-    matrix = [F.sum(F.col(f"_f{i}") * F.col(f"_f{j}")).alias(f"_m{i}_{j}") for i in range(rank) for j in range(i, rank)]
-    sums = joined.groupBy(F.col(own).alias("id")).agg(F.count("*").cast("double").alias("_n"), *right, *matrix)
-    return sums.mapInArrow(_solver(rank, regularization), "id long, features array<double>")
+def _features(ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    ends = np.arange(len(ids) + 1, dtype=np.int32) * values.shape[1]
+    return pa.record_batch([pa.array(ids), pa.ListArray.from_arrays(ends, values.ravel())], names=["id", "features"])
+
+
+def _solver(rank: int, regularization: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = np.stack([column.to_numpy() for column in batch.columns[1:]], axis=1)
+            yield _features(batch.column(0).to_numpy(), _solve(sums, rank, regularization))
+
+    return run
+
+
+def _result(found: DataFrame, kind: int, rank: int, regularization: float) -> DataFrame:
+    """``id``, ``features`` of one side; the sums of ids in parts are added up first."""
+    whole = found.filter(F.col("kind") == kind).select("ids", "values").mapInArrow(_unpack(rank), "id long, features array<double>")
+    width = 1 + rank + rank * (rank + 1) // 2
+    parts = found.filter(F.col("kind") == kind + 1).select("ids", "values").mapInArrow(_unpack(width), "id long, features array<double>")
+    sums = parts.groupBy("id").agg(*[F.sum(F.col("features")[k]).alias(f"_{k}") for k in range(width)])
+    return whole.unionByName(sums.mapInArrow(_solver(rank, regularization), "id long, features array<double>"))
 
 
 def train_in_parts(
@@ -100,25 +293,34 @@ def train_in_parts(
 ) -> FactorTables:
     """Alternating least squares on ids of 64 bits; the regularisation of a user or item grows with its ratings.
 
-    Each half-step joins the ratings with the factors of one side and adds up the normal equations of the other; the
-    sums are combined in every task before they are shuffled. Factors are staged after each half-step, and
+    Ratings are placed once in blocks by user and once in blocks by item. In a half-step they stay where they are, and only the
+    factors of the other side are moved, once to each block that needs them. An id with many ratings is in several blocks: these send
+    their sums of its equation, which are added up where its factors are needed. Factors are staged after every fifth iteration and the last;
     all but the last are released. Ratings with a null id or rating are left out; repeated ratings all count.
     """
+    if iterations < 1:
+        raise ValueError("at least one iteration is needed")
     spark, mark = ratings.sparkSession, staged_tables()
     whole = stage_table(
         ratings.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id"), F.col("rating").cast("double").alias("rating")).dropna()
     )
-    users = whole.select(F.col("user_id").alias("id")).distinct().select("id", initial_features(rank, seed).alias("features"))
-    items = None
-    for _ in range(iterations):
-        items = stage_table(solve_side(whole, "item_id", "user_id", users, rank, regularization))
-        users = stage_table(solve_side(whole, "user_id", "item_id", items, rank, regularization))
-        now = staged_names(mark)
-        release_tables(spark, now[1:-2])
-    if items is None:
-        raise ValueError("at least one iteration is needed")
-    release_tables(spark, staged_names(mark)[:1])
-    return FactorTables(users, items, rank)
+    by_user, by_item, blocks = place_ratings(whole)
+
+    def half(side: DataFrame, known: DataFrame, sent: bool, result: int | None) -> DataFrame:
+        step = _half_step(rank, regularization, blocks, sent, result)
+        return side.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(step, _FACTORS)
+
+    first = by_user.groupBy("block").applyInArrow(_first_ids, "block int, id long")
+    users = first.select("block", "id", initial_features(rank, seed).alias("features")).mapInArrow(_pack_factors, _FACTORS)
+    for done in range(1, iterations + 1):
+        last = done == iterations
+        items = half(by_item, users, True, _ITEMS if last else None)
+        users = half(by_user, items, not last, _USERS if last else None)
+        if last or done % _STAGE_EVERY == 0:
+            users = stage_table(users)
+    tables = [stage_table(_result(users, kind, rank, regularization)) for kind in (_USERS, _ITEMS)]
+    release_tables(spark, staged_names(mark)[:-2])
+    return FactorTables(*tables, rank)
 
 
 # Use ----------------------------------------------------------------------------------------------------------------
@@ -131,7 +333,7 @@ def _dot(left: str, right: str) -> Column:
 def _with_features(pairs: DataFrame, tables: FactorTables) -> DataFrame:
     users = tables.users.select(F.col("id").alias("user_id"), F.col("features").alias("_user"))
     items = tables.items.select(F.col("id").alias("item_id"), F.col("features").alias("_item"))
-    return pairs.join(users, "user_id").join(items, "item_id")
+    return pairs.join(items, "item_id").join(users, "user_id")
 
 
 def predict(tables: FactorTables, pairs: DataFrame) -> DataFrame:
@@ -147,3 +349,7 @@ def user_residuals(tables: FactorTables, ratings: DataFrame, regularization: flo
     gradient = joined.groupBy("user_id").agg(F.sum(F.abs("rating")).alias("_total"), *[s.alias(f"_g{k}") for k, s in enumerate(sums)])
     length = F.sqrt(sum((F.col(f"_g{k}") * F.col(f"_g{k}") for k in range(1, tables.rank)), F.col("_g0") * F.col("_g0")))
     return gradient.select("user_id", F.try_divide(length, F.col("_total")).alias("residual"))
+
+
+# Executors may have no copy of this package: its functions travel as code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

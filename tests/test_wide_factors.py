@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tallyloom.plans import factors, ratings, wide_factors
-from tallyloom.session import staged_tables
+from tallyloom.session import staged_tables, staging
 
 TRIPLE = "user_id long, item_id long, rating double"
 BIG = 1 << 40
@@ -74,3 +74,40 @@ def test_nulls_and_no_ratings(spark):
     df = spark.createDataFrame([(None, 1, 2.0), (1, None, 2.0), (1, 1, None)], TRIPLE)
     tables = wide_factors.train_in_parts(df, 2, 1)
     assert tables.users.count() == tables.items.count() == 0
+
+
+def test_ratings_stay_and_a_factor_goes_once_to_a_block(spark):
+    """Each user rates 200 items: with a row of factors per rating, a half-step moves 200 a user."""
+    rows = [(u * BIG, i * BIG - 1, float((u * i) % 5 + 1)) for u in range(300) for i in range(200)]
+    with staging(spark):
+        by_user, by_item, blocks = wide_factors.place_ratings(spark.createDataFrame(rows, TRIPLE).repartition(5))
+        start = by_user.groupBy("block").applyInArrow(wide_factors._first_ids, "block int, id long")
+        sent = start.collect()
+        assert len({r.id for r in sent}) == 300
+        assert len(sent) == len({(r.block, r.id) for r in sent}) <= 300 * blocks < len(rows) // 10
+        step = by_item.groupBy("block").cogroup(
+            start.select("block", "id", wide_factors.initial_features(2).alias("features")).mapInArrow(wide_factors._pack_factors, wide_factors._FACTORS).groupBy("block")
+        ).applyInArrow(wide_factors._half_step(2, 0.1, blocks, True, None), wide_factors._FACTORS)
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1  # of the factors; the ratings stay
+
+
+def test_ids_in_parts_give_the_plain_factors(spark, monkeypatch):
+    """Two users and two items with most ratings, in several parts, repeated ratings among them."""
+    rng = np.random.default_rng(9)
+    some = [(int(u) * BIG, int(i) * BIG, float(r)) for u, i, r in zip(rng.integers(0, 90, 400), rng.integers(0, 70, 400), rng.integers(1, 6, 400))]
+    hot = [(u * BIG, i * BIG, float(u % 5)) for i in (0, 1) for u in range(90)] + [(u * BIG, i * BIG, float(i % 4)) for u in (0, 1) for i in range(70)]
+    rows = some + hot + hot[:50]
+    df = spark.createDataFrame(rows, TRIPLE).repartition(3)
+    for parts in (2, 1e-6):  # ids with more than 24 ratings are in parts; none
+        monkeypatch.setattr(wide_factors, "_PARTS", parts)
+        with staging(spark):
+            tables = wide_factors.train_in_parts(df, 3, 2)
+            ids = spark.createDataFrame([(u,) for u in {r[0] for r in rows}], "id long")
+            start = {r.id: r.f for r in ids.select("id", wide_factors.initial_features(3).alias("f")).collect()}
+            users, items = plain(rows, start, 3, 2, factors.REGULARIZATION)
+            for got, want in ((tables.users, users), (tables.items, items)):
+                found = [(r.id, r.features) for r in got.collect()]
+                assert sorted(key for key, _ in found) == sorted(want)
+                for key, value in found:
+                    np.testing.assert_allclose(value, want[key], rtol=1e-6, atol=1e-8)
