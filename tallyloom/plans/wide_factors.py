@@ -8,7 +8,7 @@ to them, and an item with a third of all ratings is cut into parts whose sums ar
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,8 +84,8 @@ def _solve(sums: np.ndarray, rank: int, regularization: float) -> np.ndarray:
 _BLOCK_RATINGS, _LEAST_BLOCKS, _PARTS = 1 << 23, 16, 4
 #: Counts by hash, among which the heavy ids are looked for.
 _HASHES = 1 << 16
-#: Ratings that a task packs together, numbers in a row of factors, and ratings whose products are in memory at once.
-_PACKED, _ROW, _SLICE = 1 << 18, 1 << 18, 1 << 20
+#: Ratings that a task packs together, numbers in a row of factors, and ratings (about) that are unpacked at once.
+_PACKED, _ROW, _SLICE = 1 << 18, 1 << 18, 1 << 18
 #: Iterations after which the factors are staged, so that plans stay short.
 _STAGE_EVERY = 5
 _RATINGS = "block int, split boolean, own binary, other binary, to binary, rating binary"
@@ -99,7 +99,7 @@ def _to_bytes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
 
 
-def _from_bytes(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+def _from_bytes(column: Iterable[pa.BinaryScalar], kind: type) -> np.ndarray:
     """The values of all rows of a binary column, one after the other."""
     size = np.dtype(kind).itemsize
     found = [np.frombuffer(row.as_buffer(), np.uint8).reshape(size, -1).T.copy().view(kind).ravel() for row in column]
@@ -166,22 +166,54 @@ def place_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     return sides[0], sides[1], blocks
 
 
-def _wanted(at: np.ndarray, to: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The blocks that need something of these ids (places below ``size``) and of which ids, each once."""
-    pairs = np.unique(to.astype(np.int64) * size + at)
-    block, place = np.divmod(pairs, max(size, 1))
-    cuts = np.flatnonzero(np.diff(block)) + 1
-    for group in np.split(np.arange(len(pairs)), cuts):
-        if len(group):
-            yield int(block[group[0]]), place[group]
+def _slices(ratings: pa.Table, split: bool | None = None) -> Iterator[list[np.ndarray]]:
+    """``own``, ``other``, ``to`` and ``rating`` of some of a block's ratings at a time; of ids in parts, of others or of both."""
+    kinds, sizes = ratings["split"].to_pylist(), pc.binary_length(ratings["own"]).to_pylist()
+    chosen = [row for row, kind in enumerate(kinds) if split is None or kind == split]
+    start = held = 0
+    for end, row in enumerate(chosen, 1):
+        held += sizes[row] // 8
+        if held >= _SLICE or end == len(chosen):
+            columns = (("own", np.int64), ("other", np.int64), ("to", np.int32), ("rating", np.float64))
+            yield [_from_bytes((ratings[name][k] for k in chosen[start:end]), kind) for name, kind in columns]
+            start, held = end, 0
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted; by sorting, which is faster here than the hashing of ``np.unique``."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _together(parts: list[np.ndarray]) -> np.ndarray:
+    return _distinct(np.concatenate(parts)) if parts else np.empty(0, np.int64)
+
+
+def _places(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted ids are in the sorted ``ids``; looked for in their order, which keeps to the cache."""
+    order, found = np.argsort(wanted), np.empty(len(wanted), np.int64)
+    found[order] = np.searchsorted(ids, wanted[order])
+    return found
+
+
+def _pairs(at: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
+    """One number for a block and the place, below ``size``, of an id that it needs; each once."""
+    return _distinct(to.astype(np.int64) * size + at)
+
+
+def _wanted(pairs: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The blocks and the places of the ids that they need."""
+    block, place = np.divmod(pairs, size)
+    for group in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(block)) + 1):
+        yield int(block[group[0]]), place[group]
 
 
 def _first_ids(table: pa.Table) -> pa.Table:
     """The ids of a block's ratings, once for each block that needs their factors."""
-    ids, at = np.unique(_from_bytes(table["own"], np.int64), return_inverse=True)
-    found = [(np.full(len(place), block, np.int32), ids[place]) for block, place in _wanted(at, _from_bytes(table["to"], np.int32), len(ids))]
-    blocks, ids = (np.concatenate(column) for column in zip(*found)) if found else (np.empty(0, np.int32), ids)
-    return pa.table({"block": blocks, "id": ids})
+    ids = _together([_distinct(own) for own, *_ in _slices(table)])
+    pairs = _together([_pairs(_places(ids, own), to, len(ids)) for own, _, to, _ in _slices(table)])
+    block, place = np.divmod(pairs, len(ids))
+    return pa.table({"block": block.astype(np.int32), "id": ids[place]})
 
 
 def _factor_rows(block: int, kind: int, ids: np.ndarray, values: np.ndarray) -> list[tuple]:
@@ -205,27 +237,27 @@ def _pack_factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _received(given: pa.Table, rank: int, regularization: float) -> tuple[np.ndarray, np.ndarray]:
     """Sorted ids and their factors; the sums of ids in parts are added up and solved."""
-    whole, parts = (given.filter(pc.equal(given["kind"], kind)) for kind in (_SENT, _SENT + 1))
-    ids, values = _from_bytes(whole["ids"], np.int64), _from_bytes(whole["values"], np.float64).reshape(-1, rank)
-    if parts.num_rows:
-        heavy, at = np.unique(_from_bytes(parts["ids"], np.int64), return_inverse=True)
+    kinds = given["kind"].to_pylist()
+
+    def values(name: str, kind: int, data: type) -> np.ndarray:
+        return _from_bytes((row for row, found in zip(given[name], kinds) if found == kind), data)
+
+    ids, vectors = values("ids", _SENT, np.int64), values("values", _SENT, np.float64).reshape(-1, rank)
+    if _SENT + 1 in kinds:
+        heavy, at = np.unique(values("ids", _SENT + 1, np.int64), return_inverse=True)
         sums = np.zeros((len(heavy), 1 + rank + rank * (rank + 1) // 2))
-        np.add.at(sums, at, _from_bytes(parts["values"], np.float64).reshape(-1, sums.shape[1]))
-        ids, values = np.concatenate([ids, heavy]), np.concatenate([values, _solve(sums, rank, regularization)])
+        np.add.at(sums, at, values("values", _SENT + 1, np.float64).reshape(-1, sums.shape[1]))
+        ids, vectors = np.concatenate([ids, heavy]), np.concatenate([vectors, _solve(sums, rank, regularization)])
     order = np.argsort(ids, kind="stable")
-    return ids[order], values[order]
+    return ids[order], vectors[order]
 
 
-def _add_up(at: np.ndarray, size: int, where: np.ndarray, vectors: np.ndarray, rating: np.ndarray) -> np.ndarray:
-    """Number of ratings, right side and upper triangle of the matrix of each id; ``where`` is a rating's place in ``vectors``."""
-    rank = vectors.shape[1]
-    sums = np.zeros((size, 1 + rank + rank * (rank + 1) // 2))
-    for k in range(0, len(at), _SLICE):
-        own, x, y = at[k : k + _SLICE], vectors[where[k : k + _SLICE]].T, rating[k : k + _SLICE]
-        products = [None, *[x[i] * y for i in range(rank)], *[x[i] * x[j] for i, j in zip(*np.triu_indices(rank))]]
-        for column, weights in enumerate(products):
-            sums[:, column] += np.bincount(own, weights, size)
-    return sums
+def _add_up(sums: np.ndarray, at: np.ndarray, vectors: np.ndarray, rating: np.ndarray) -> None:
+    """Add ratings, and the vectors of the other ids, to the number of ratings, right side and upper triangle of the matrix of each id."""
+    x = np.ascontiguousarray(vectors.T)
+    products = [None, *[row * rating for row in x], *[x[i] * x[j] for i, j in zip(*np.triu_indices(len(x)))]]
+    for column, weights in enumerate(products):
+        sums[:, column] += np.bincount(at, weights, len(sums))
 
 
 def _half_step(rank: int, regularization: float, blocks: int, sent: bool, result: int | None):
@@ -235,21 +267,28 @@ def _half_step(rank: int, regularization: float, blocks: int, sent: bool, result
     def run(ratings: pa.Table, given: pa.Table) -> pa.Table:
         known, vectors = _received(given, rank, regularization)
         rows = [tuple(row.values()) for row in given.filter(pc.greater_equal(given["kind"], _USERS)).to_pylist()]
+        found = []
         for split in (False, True):
-            mine = ratings.filter(pc.equal(ratings["split"], split))
-            ids, at = np.unique(_from_bytes(mine["own"], np.int64), return_inverse=True)
+            ids = _together([_distinct(own) for own, *_ in _slices(ratings, split)])
+            values, pairs = np.zeros((len(ids), 1 + rank + rank * (rank + 1) // 2)), []
+            for own, other, to, rating in _slices(ratings, split):
+                at = _places(ids, own)
+                _add_up(values, at, vectors[_places(known, other)], rating)
+                if sent and not split:
+                    pairs.append(_pairs(at, to, len(ids)))
+            found.append((split, ids, values, _together(pairs)))
+        del known, vectors
+        for split, ids, values, pairs in found:
             if not len(ids):
                 continue
-            where = np.searchsorted(known, _from_bytes(mine["other"], np.int64))
-            values = _add_up(at, len(ids), where, vectors, _from_bytes(mine["rating"], np.float64))
             if not split:
                 values = _solve(values, rank, regularization)
             if result is not None:
-                rows += _factor_rows(mine["block"][0].as_py(), result + split, ids, values)
+                rows += _factor_rows(ratings["block"][0].as_py(), result + split, ids, values)
             if sent and split:
                 rows += [row for block in range(blocks) for row in _factor_rows(block, _SENT + 1, ids, values)]
             elif sent:
-                for block, place in _wanted(at, _from_bytes(mine["to"], np.int32), len(ids)):
+                for block, place in _wanted(pairs, len(ids)):
                     rows += _factor_rows(block, _SENT, ids[place], values[place])
         return _factor_batch(rows)
 
