@@ -73,21 +73,27 @@ def initial_features(rank: int, seed: int = factors.SEED) -> Column:
 
 def _solve(sums: np.ndarray, rank: int, regularization: float) -> np.ndarray:
     """Solutions of one equation per row: number of ratings, right side and upper triangle of the matrix."""
-    upper = np.triu_indices(rank)
-    matrix = np.zeros((len(sums), rank, rank))
-    matrix[:, upper[0], upper[1]] = matrix[:, upper[1], upper[0]] = sums[:, 1 + rank :]
-    matrix[:, range(rank), range(rank)] += regularization * sums[:, :1]
-    return np.linalg.solve(matrix, sums[:, 1 : 1 + rank, None])[:, :, 0]
+    upper, found = np.triu_indices(rank), np.empty((len(sums), rank))
+    for k in range(0, len(sums), _SOLVED):
+        some = sums[k : k + _SOLVED]
+        matrix = np.zeros((len(some), rank, rank))
+        matrix[:, upper[0], upper[1]] = matrix[:, upper[1], upper[0]] = some[:, 1 + rank :]
+        matrix[:, range(rank), range(rank)] += regularization * some[:, :1]
+        found[k : k + _SOLVED] = np.linalg.solve(matrix, some[:, 1 : 1 + rank, None])[:, :, 0]
+    return found
 
 
-#: Ratings of a block (about), the least number of blocks, and parts for heavy ids, per block.
-_BLOCK_RATINGS, _LEAST_BLOCKS, _PARTS = 1 << 23, 16, 4
+#: Ratings of a block (about), the least number of blocks, and parts for heavy ids, per block. A task holds one block with its
+#: factors, in the JVM and in Python: smaller blocks take less memory, but a factor goes to more of them.
+_BLOCK_RATINGS, _LEAST_BLOCKS, _PARTS = 1 << 20, 16, 4
 #: Counts by hash, among which the heavy ids are looked for.
 _HASHES = 1 << 16
-#: Ratings that a task packs together, numbers in a row of factors, and ratings (about) that are unpacked at once.
-_PACKED, _ROW, _SLICE = 1 << 18, 1 << 18, 1 << 18
+#: Ratings that a task packs together, numbers in a row of factors, ratings (about) that are unpacked and equations that are solved at once.
+_PACKED, _ROW, _SLICE, _SOLVED = 1 << 18, 1 << 18, 1 << 18, 1 << 15
 #: Iterations after which the factors are staged, so that plans stay short.
 _STAGE_EVERY = 5
+#: Compression of values, and bytes for their number.
+_CODEC, _NUMBER = "zstd", 8
 _RATINGS = "block int, split boolean, own binary, other binary, to binary, rating binary"
 _FACTORS = "block int, kind int, ids binary, values binary"
 #: Kinds of rows: factors, and those for the result, which are passed on; one more for sums of ids in parts instead of factors.
@@ -95,15 +101,26 @@ _SENT, _USERS, _ITEMS = 0, 2, 4
 
 
 def _to_bytes(values: np.ndarray) -> bytes:
-    """First bytes of all values, then second bytes and so on: sorted ids and small numbers compress well like this."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """Their number, then compressed the first bytes of all values, the second bytes and so on: sorted ids and small numbers
+    compress well like this. Rows stay compressed in the JVM, which holds all rows of a block at once."""
+    plain = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return values.size.to_bytes(_NUMBER, "little") + pa.compress(plain, codec=_CODEC, asbytes=True)
+
+
+def _number(row: pa.BinaryScalar) -> int:
+    """How many values a row holds."""
+    return int.from_bytes(memoryview(row.as_buffer())[:_NUMBER], "little")
 
 
 def _from_bytes(column: Iterable[pa.BinaryScalar], kind: type) -> np.ndarray:
     """The values of all rows of a binary column, one after the other."""
-    size = np.dtype(kind).itemsize
-    found = [np.frombuffer(row.as_buffer(), np.uint8).reshape(size, -1).T.copy().view(kind).ravel() for row in column]
-    return np.concatenate(found) if found else np.empty(0, kind)
+    rows, size = list(column), np.dtype(kind).itemsize
+    found, end = np.empty(sum(map(_number, rows)), kind), 0
+    for row in rows:
+        start, end = end, end + _number(row)
+        plain = pa.decompress(row.as_buffer()[_NUMBER:], (end - start) * size, codec=_CODEC)
+        found[start:end].view(np.uint8).reshape(-1, size)[:] = np.frombuffer(plain, np.uint8).reshape(size, -1).T
+    return found
 
 
 def _heavy(ratings: DataFrame, column: str, limit: int) -> DataFrame:
@@ -162,17 +179,17 @@ def place_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         split = F.col(f"_{own}_parts").isNotNull()
         side = placed.select(_block(own, other, blocks).alias("block"), split.alias("split"), own, other, _block(other, own, blocks).alias("to"), "rating")
         # Buckets are dealt by a hash of the block: with several to a block, few hold two blocks.
-        sides.append(stage_buckets(side.mapInArrow(_pack, _RATINGS), "block", 4 * blocks, "zstd"))
+        sides.append(stage_buckets(side.mapInArrow(_pack, _RATINGS), "block", 4 * blocks))
     return sides[0], sides[1], blocks
 
 
 def _slices(ratings: pa.Table, split: bool | None = None) -> Iterator[list[np.ndarray]]:
     """``own``, ``other``, ``to`` and ``rating`` of some of a block's ratings at a time; of ids in parts, of others or of both."""
-    kinds, sizes = ratings["split"].to_pylist(), pc.binary_length(ratings["own"]).to_pylist()
+    kinds, sizes = ratings["split"].to_pylist(), [_number(row) for row in ratings["own"]]
     chosen = [row for row, kind in enumerate(kinds) if split is None or kind == split]
     start = held = 0
     for end, row in enumerate(chosen, 1):
-        held += sizes[row] // 8
+        held += sizes[row]
         if held >= _SLICE or end == len(chosen):
             columns = (("own", np.int64), ("other", np.int64), ("to", np.int32), ("rating", np.float64))
             yield [_from_bytes((ratings[name][k] for k in chosen[start:end]), kind) for name, kind in columns]
@@ -255,9 +272,9 @@ def _received(given: pa.Table, rank: int, regularization: float) -> tuple[np.nda
 def _add_up(sums: np.ndarray, at: np.ndarray, vectors: np.ndarray, rating: np.ndarray) -> None:
     """Add ratings, and the vectors of the other ids, to the number of ratings, right side and upper triangle of the matrix of each id."""
     x = np.ascontiguousarray(vectors.T)
-    products = [None, *[row * rating for row in x], *[x[i] * x[j] for i, j in zip(*np.triu_indices(len(x)))]]
-    for column, weights in enumerate(products):
-        sums[:, column] += np.bincount(at, weights, len(sums))
+    sums[:, 0] += np.bincount(at, minlength=len(sums))
+    for column, (left, right) in enumerate([*((row, rating) for row in x), *((x[i], x[j]) for i, j in zip(*np.triu_indices(len(x))))], 1):
+        sums[:, column] += np.bincount(at, left * right, len(sums))
 
 
 def _half_step(rank: int, regularization: float, blocks: int, sent: bool, result: int | None):
@@ -286,7 +303,8 @@ def _half_step(rank: int, regularization: float, blocks: int, sent: bool, result
             if result is not None:
                 rows += _factor_rows(ratings["block"][0].as_py(), result + split, ids, values)
             if sent and split:
-                rows += [row for block in range(blocks) for row in _factor_rows(block, _SENT + 1, ids, values)]
+                some = _factor_rows(0, _SENT + 1, ids, values)
+                rows += [(block, *row[1:]) for block in range(blocks) for row in some]
             elif sent:
                 for block, place in _wanted(pairs, len(ids)):
                     rows += _factor_rows(block, _SENT, ids[place], values[place])

@@ -1,6 +1,9 @@
 """Factor models for 64-bit ids and hot items."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyloom.plans import factors, ratings, wide_factors
@@ -111,3 +114,56 @@ def test_ids_in_parts_give_the_plain_factors(spark, monkeypatch):
                 assert sorted(key for key, _ in found) == sorted(want)
                 for key, value in found:
                     np.testing.assert_allclose(value, want[key], rtol=1e-6, atol=1e-8)
+
+
+def test_placed_ratings_are_compressed(spark):
+    """The JVM holds all rows of a block at once: 28 bytes a rating if they are plain."""
+    rows = [(u * BIG, i * BIG - 1, float((u * i) % 5 + 1)) for u in range(300) for i in range(200)]
+    with staging(spark):
+        for side in wide_factors.place_ratings(spark.createDataFrame(rows, TRIPLE).coalesce(1))[:2]:
+            stored = side.selectExpr("sum(length(own) + length(other) + length(to) + length(rating)) AS n").first().n
+            assert stored < 14 * len(rows)
+
+
+def test_values_come_back_from_bytes():
+    rng = np.random.default_rng(4)
+    some = [rng.integers(-(1 << 62), 1 << 62, n) for n in (0, 1, 1000)]
+    column = pa.array([wide_factors._to_bytes(values) for values in some])
+    assert [wide_factors._number(row) for row in column] == [0, 1, 1000]
+    np.testing.assert_array_equal(wide_factors._from_bytes(column, np.int64), np.concatenate(some))
+    vectors = rng.normal(size=(70, 3))
+    np.testing.assert_array_equal(wide_factors._from_bytes(pa.array([wide_factors._to_bytes(vectors)]), np.float64), vectors.ravel())
+    assert len(wide_factors._from_bytes(pa.array([], pa.binary()), np.int32)) == 0
+
+
+def test_equations_are_solved_some_at_a_time(monkeypatch):
+    x, y = np.random.default_rng(5).normal(size=(2, 20, 3))
+    sums = np.column_stack([np.arange(1, 21), y, *[x[:, i] * x[:, j] + (i == j) for i, j in zip(*np.triu_indices(3))]])
+    whole = wide_factors._solve(sums, 3, 0.1)
+    monkeypatch.setattr(wide_factors, "_SOLVED", 7)
+    np.testing.assert_allclose(wide_factors._solve(sums, 3, 0.1), whole)
+    assert wide_factors._solve(sums[:0], 3, 0.1).shape == (0, 3)
+
+
+def test_memory_of_a_full_block():
+    """A block with as many ratings as it may have, of two thirds as many other ids, in rows as they are packed."""
+    rng, n, blocks = np.random.default_rng(6), wide_factors._BLOCK_RATINGS, 16
+    rows, others = [], []
+    for k in range(0, n, 1 << 14):
+        size = min(1 << 14, n - k)
+        own, other = np.sort(rng.integers(0, n // 30, size)) * BIG, rng.integers(0, n, size) * BIG
+        others.append(np.unique(other))
+        columns = own, other, (other % 7919 % blocks).astype(np.int32), rng.integers(1, 6, size).astype(np.float64)
+        rows.append((0, False, *map(wide_factors._to_bytes, columns)))
+    names = {"block": pa.int32(), "split": pa.bool_(), "own": pa.binary(), "other": pa.binary(), "to": pa.binary(), "rating": pa.binary()}
+    placed = pa.table({name: pa.array([row[k] for row in rows], kind) for k, (name, kind) in enumerate(names.items())})
+    ids = np.unique(np.concatenate(others))
+    given = wide_factors._factor_batch(wide_factors._factor_rows(0, 0, ids, rng.normal(size=(len(ids), 4))))
+    assert placed.nbytes + given.nbytes < 64 << 20
+    del rows, others, columns, own, other, ids
+    tracemalloc.start()
+    found = wide_factors._half_step(4, 0.1, blocks, True, None)(placed, given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    assert found.num_rows
